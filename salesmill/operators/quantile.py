@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from salesmill.plans.staging import stage
+
 RANKED_VALUES = 100_000
 SLICES = 256
 
@@ -22,6 +24,7 @@ def exact_quantile(df: DataFrame, column: str, p: float, name: str = "q", ranked
         .groupBy(F.col(column).alias("v"))
         .agg(F.count(F.lit(1)).alias("w"))
     )
+    counts = stage(counts, "value-counts")
     n = counts.agg(F.sum("w")).first()[0] or 0
     rank = p * max(n - 1, 0)
     near, below = _narrow(counts, rank, ranked_values)

@@ -25,14 +25,15 @@ def csv_schema(keep_corrupt: bool = False) -> T.StructType:
     return T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def read_csv(spark: SparkSession, path, quoted_newlines: bool = False, keep_corrupt: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path, quoted_newlines: bool = False, keep_corrupt: bool = False, header: bool = True) -> DataFrame:
     """CSV extract with the fixed all-text schema; short rows end in NULLs and extra fields are dropped.
 
     `quoted_newlines` makes Spark read every file whole, in one task: leave it off for large single files
-    that have none. `keep_corrupt` adds the text of rows whose field count is wrong.
+    that have none. `keep_corrupt` adds the text of rows whose field count is wrong; the parser then reads
+    all columns, since a pruned one could not be missed.
     """
     reader = spark.read.schema(csv_schema(keep_corrupt)).options(**CSV_OPTIONS)
-    return reader.option("multiLine", quoted_newlines).csv(path)
+    return reader.options(multiLine=quoted_newlines, header=header, columnPruning=not keep_corrupt).csv(path)
 
 
 def external_view(spark: SparkSession, path, name: str = "raw_data") -> DataFrame:
