@@ -42,14 +42,22 @@ def external_category(c: Column, column: str) -> Column:
     return F.coalesce(named, F.lit(rules.DEFAULT_REGION)) if column == "region" else named
 
 
+def microbatch_key(c: Column) -> Column:
+    return strip(F.upper(c))
+
+
+def microbatch_label(key: Column, column: str) -> Column:
+    """Label for a `microbatch_key`; the key itself where no rule matches."""
+    label = contains_label(key, rules.MICROBATCH_CATEGORIES[column])
+    return F.coalesce(label, key, F.lit(rules.MISSING_CATEGORY))
+
+
 def microbatch_category(c: Column, column: str) -> Column:
     if column == "currency":
         return F.coalesce(c, F.lit(rules.DEFAULT_CURRENCY))
     if column == "region":
         return F.coalesce(c, F.lit(rules.DEFAULT_REGION))
-    key = strip(F.upper(c))
-    label = contains_label(key, rules.MICROBATCH_CATEGORIES[column])
-    return F.coalesce(label, key, F.lit(rules.MISSING_CATEGORY))
+    return microbatch_label(microbatch_key(c), column)
 
 
 CATEGORIZERS = {

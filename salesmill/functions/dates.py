@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from salesmill.functions.numeric import INTEGER
 from salesmill.functions.text import drop_chars, strip
 
 ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
@@ -166,7 +167,8 @@ def anio_mes(d: Column) -> Column:
 def anio_mes_text(c: Column) -> Column:
     """YYYYMM from fixed character positions of unparsed text; month 01 for texts shorter than 7."""
     month = F.when(F.length(c) >= 7, F.substring(c, 6, 2)).otherwise(F.lit("01"))
-    return F.when(F.length(c) >= 4, F.concat(F.substring(c, 1, 4), month).try_cast("int"))
+    digits = F.concat(F.substring(c, 1, 4), month)
+    return F.when((F.length(c) >= 4) & digits.rlike(INTEGER), digits.try_cast("int"))
 
 
 def year_month(d: Column) -> Column:

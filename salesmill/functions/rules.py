@@ -40,8 +40,6 @@ WHITESPACE = "".join(
     )
 )
 
-ASCII_WHITESPACE = "".join(ch for ch in WHITESPACE if ord(ch) < 0x80)
-
 # What a NULL becomes in the `datamart` profile.
 DATAMART_DEFAULTS = {
     "transaction_id": "UNKNOWN",

@@ -11,14 +11,18 @@ def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.length(c)
 
 
+def _is_plain(edge: Column) -> Column:
+    """The text starts with a visible ASCII character, which is what most values do."""
+    return (edge >= F.lit("!")) & (edge < F.lit("\x7f"))
+
+
 def strip(c: Column) -> Column:
     """Trim Unicode white space from both ends (`F.trim` alone removes only U+0020).
 
-    The long list of characters is only tried on text that holds a character beyond ASCII.
+    Trimming a list of characters is slow, so only text that may still start or end with one gets it.
     """
-    return F.when(is_ascii(c), F.btrim(c, F.lit(rules.ASCII_WHITESPACE))).otherwise(
-        F.btrim(c, F.lit(rules.WHITESPACE))
-    )
+    t = F.trim(c)
+    return F.when(_is_plain(t) & _is_plain(F.substring(t, -1, 1)), t).otherwise(F.btrim(t, F.lit(rules.WHITESPACE)))
 
 
 def drop_chars(c: Column, profile: str) -> Column:
@@ -42,12 +46,10 @@ def collapse_spaces(c: Column) -> Column:
 def clean_text(c: Column, profile: str) -> Column:
     """Repair a text column as `profile` does; NULL stays NULL and '' stays ''.
 
-    Every repaired sequence holds a character beyond ASCII, so plain ASCII text is only trimmed.
+    Every repaired sequence holds a character beyond ASCII, so ASCII text is only trimmed.
     """
     repair = drop_chars if profile in rules.STRIPPED_CHARS else replace_all
-    text = F.when(is_ascii(c), F.btrim(c, F.lit(rules.ASCII_WHITESPACE))).otherwise(
-        F.btrim(repair(c, profile), F.lit(rules.WHITESPACE))
-    )
+    text = strip(F.when(is_ascii(c), c).otherwise(repair(c, profile)))
     if profile in ("chunked", "microbatch"):
         text = collapse_spaces(text)
     return F.upper(text) if profile == "microbatch" else text

@@ -42,12 +42,18 @@ def clean(df: DataFrame, profile: str | Profile, as_of=None) -> DataFrame:
     value = {c: exprs.get(c, F.col(c)) if c in have else F.col(c) for c in RAW_COLUMNS}
     typed = rows.select(
         *[value[c].cast(p.schema[c].dataType).alias(c) for c in RAW_COLUMNS],
-        p.quantity_missing(F.col("quantity"), value["quantity"]).cast("int").alias("quantity_null"),
-        p.price_missing(F.col("unit_price"), value["unit_price"]).alias(PRICE_MISSING),
+        *[F.col(c).alias(f"_raw_{c}") for c in ("quantity", "unit_price")],
     )
     if p.require_date:
         typed = typed.where(F.col("date").isNotNull())
-    return typed.withColumn("AnioMes", p.anio_mes(F.col("date")))
+    # A projection of its own: it reads the casts and parses above instead of repeating them.
+    return typed.withColumns(
+        {
+            "AnioMes": p.anio_mes(F.col("date")),
+            "quantity_null": p.quantity_missing(F.col("_raw_quantity"), F.col("quantity")).cast("int"),
+            PRICE_MISSING: p.price_missing(F.col("_raw_unit_price"), F.col("unit_price")),
+        }
+    ).drop("_raw_quantity", "_raw_unit_price")
 
 
 def finish(df: DataFrame, profile: str | Profile) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F, types as T
 
 from salesmill.functions import dates, numeric, rules
-from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS
+from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS, microbatch_key, microbatch_label
 from salesmill.functions.text import clean_text, strip
 from salesmill.schemas import CLEAN_SCHEMA, DATE_COLUMNS, LINES_SCHEMA, NUMERIC_COLUMNS
 
@@ -117,6 +117,7 @@ def microbatch_columns(as_of: Column) -> dict[str, Column]:
     return {
         **_text(MICROBATCH_TEXT, "microbatch"),
         **_categories("microbatch"),
+        **{c: microbatch_label(F.col(c), c) for c in rules.MICROBATCH_CATEGORIES},
         **_doubles(NUMERIC_COLUMNS),
         **_dates("microbatch", as_of),
     }
@@ -138,6 +139,8 @@ def prepare(profile: str) -> dict[str, Column]:
     tidy = {c: dates.date_text(F.col(c), profile) for c in columns}
     if profile == "datamart":
         tidy["modified_date"] = strip(F.col("modified_date"))
+    if profile == "microbatch":
+        tidy |= {c: microbatch_key(F.col(c)) for c in rules.MICROBATCH_CATEGORIES}
     return tidy
 
 
