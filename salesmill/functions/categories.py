@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, functions as F
 
 from salesmill.functions import rules
-from salesmill.functions.text import clean_text, strip
+from salesmill.functions.text import repair_text, strip, strip_inline
 
 
 def exact_label(key: Column, table: list[tuple[str, list[str]]]) -> Column:
@@ -27,7 +27,7 @@ def contains_label(key: Column, table: list[tuple[str, list[str]]]) -> Column:
 
 
 def datamart_category(c: Column, column: str) -> Column:
-    fallback = clean_text(c, "datamart")
+    fallback = strip_inline(repair_text(c, "datamart"))
     if column == "currency":
         fallback = F.upper(fallback)
     label = exact_label(F.lower(c), rules.DATAMART_CATEGORIES[column])
@@ -38,7 +38,7 @@ def external_category(c: Column, column: str) -> Column:
     if column == "currency":
         return F.coalesce(c, F.lit(rules.DEFAULT_CURRENCY))
     label = contains_label(F.lower(c), rules.EXTERNAL_CATEGORIES[column])
-    named = F.coalesce(label, F.upper(clean_text(c, "external")))
+    named = F.coalesce(label, F.upper(strip_inline(repair_text(c, "external"))))
     return F.coalesce(named, F.lit(rules.DEFAULT_REGION)) if column == "region" else named
 
 

@@ -25,6 +25,11 @@ def strip(c: Column) -> Column:
     return F.when(_is_plain(t) & _is_plain(F.substring(t, -1, 1)), t).otherwise(F.btrim(t, F.lit(rules.WHITESPACE)))
 
 
+def strip_inline(c: Column) -> Column:
+    """As `strip`, naming its input only once: for expressions that are large and seldom evaluated."""
+    return F.btrim(c, F.lit(rules.WHITESPACE))
+
+
 def drop_chars(c: Column, profile: str) -> Column:
     """Delete every character of the profile's mis-encoding class."""
     for ch in rules.STRIPPED_CHARS[profile]:
@@ -43,13 +48,20 @@ def collapse_spaces(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", " ")
 
 
-def clean_text(c: Column, profile: str) -> Column:
-    """Repair a text column as `profile` does; NULL stays NULL and '' stays ''.
-
-    Every repaired sequence holds a character beyond ASCII, so ASCII text is only trimmed.
-    """
+def repair_text(c: Column, profile: str) -> Column:
+    """First half of `clean_text`. Every repaired sequence has a character beyond ASCII, so ASCII text is left alone."""
     repair = drop_chars if profile in rules.STRIPPED_CHARS else replace_all
-    text = strip(F.when(is_ascii(c), c).otherwise(repair(c, profile)))
+    return F.when(is_ascii(c), c).otherwise(repair(c, profile))
+
+
+def finish_text(c: Column, profile: str) -> Column:
+    """Second half of `clean_text`: trim, and in some profiles collapse white space and upper-case."""
+    text = strip(c)
     if profile in ("chunked", "microbatch"):
         text = collapse_spaces(text)
     return F.upper(text) if profile == "microbatch" else text
+
+
+def clean_text(c: Column, profile: str) -> Column:
+    """Repair a text column as `profile` does; NULL stays NULL and '' stays ''."""
+    return finish_text(repair_text(c, profile), profile)

@@ -20,7 +20,7 @@ from salesmill.operators.impute import global_mean, level_means, prepare_fills,
 from salesmill.operators.sampling import sample_rows
 from salesmill.operators.stats import table_stats
 from salesmill.plans.jobs import build_datamart
-from salesmill.plans.profiles import PROFILES
+from salesmill.plans.profiles import PROFILES, prepare
 from salesmill.plans.session import tune
 from salesmill.plans.staging import new_path, stage
 from salesmill.schemas import CLEAN_SCHEMA, RAW_COLUMNS
@@ -112,7 +112,8 @@ def quantity_flag(spark, sf_dir) -> DataFrame:
 
 def defaults_datamart(spark, sf_dir) -> DataFrame:
     filled = PROFILES["datamart"].columns(F.lit(AS_OF).cast("date"))
-    return raw(spark, sf_dir).select(*[filled[c].alias(c) for c in rules.DATAMART_DEFAULTS])
+    prepared = raw(spark, sf_dir).withColumns(prepare("datamart"))
+    return prepared.select(*[filled[c].alias(c) for c in rules.DATAMART_DEFAULTS])
 
 
 def category(profile: str, column: str, spark, sf_dir) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 from salesmill.functions import dates, numeric, rules
 from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS, microbatch_key, microbatch_label
-from salesmill.functions.text import clean_text, strip
+from salesmill.functions.text import finish_text, repair_text, strip
 from salesmill.schemas import CLEAN_SCHEMA, DATE_COLUMNS, LINES_SCHEMA, NUMERIC_COLUMNS
 
 
@@ -47,7 +47,8 @@ class Profile:
 
 
 def _text(columns: list[str], profile: str) -> dict[str, Column]:
-    return {c: clean_text(F.col(c), profile) for c in columns}
+    """Text columns that `prepare` has repaired."""
+    return {c: finish_text(F.col(c), profile) for c in columns}
 
 
 def _categories(profile: str) -> dict[str, Column]:
@@ -87,7 +88,7 @@ MICROBATCH_TEXT = ["transaction_id", "customer_id", "product_id", "warehouse", "
 
 
 def datamart_columns(as_of: Column) -> dict[str, Column]:
-    text = {"transaction_id": strip(F.col("transaction_id")), **_text(DATAMART_TEXT, "datamart")}
+    text = {"transaction_id": strip(F.col("transaction_id")), **_text(TEXT["datamart"], "datamart")}
     return {
         **{c: F.coalesce(e, F.lit(rules.DATAMART_DEFAULTS[c])) for c, e in text.items()},
         **_categories("datamart"),
@@ -98,7 +99,7 @@ def datamart_columns(as_of: Column) -> dict[str, Column]:
 
 def external_columns(as_of: Column) -> dict[str, Column]:
     return {
-        **_text(EXTERNAL_TEXT, "external"),
+        **_text(TEXT["external"], "external"),
         **_categories("external"),
         **_integer_quantity(),
         **_dates("external", as_of),
@@ -107,7 +108,7 @@ def external_columns(as_of: Column) -> dict[str, Column]:
 
 def chunked_columns(as_of: Column) -> dict[str, Column]:
     return {
-        **_text(CHUNKED_TEXT, "chunked"),
+        **_text(TEXT["chunked"], "chunked"),
         **_doubles(NUMERIC_COLUMNS),
         **_dates("chunked", as_of),
     }
@@ -115,7 +116,7 @@ def chunked_columns(as_of: Column) -> dict[str, Column]:
 
 def microbatch_columns(as_of: Column) -> dict[str, Column]:
     return {
-        **_text(MICROBATCH_TEXT, "microbatch"),
+        **_text(TEXT["microbatch"], "microbatch"),
         **_categories("microbatch"),
         **{c: microbatch_label(F.col(c), c) for c in rules.MICROBATCH_CATEGORIES},
         **_doubles(NUMERIC_COLUMNS),
@@ -125,11 +126,18 @@ def microbatch_columns(as_of: Column) -> dict[str, Column]:
 
 def lines_columns(as_of: Column) -> dict[str, Column]:
     return {
-        **_text(CHUNKED_TEXT, "lines"),
+        **_text(TEXT["lines"], "lines"),
         **_doubles(NUMERIC_COLUMNS),
     }
 
 
+# What each profile repairs as text; the other columns are normalized, parsed, cast or left as they are.
+TEXT = {
+    "datamart": DATAMART_TEXT, "external": EXTERNAL_TEXT, "chunked": CHUNKED_TEXT,
+    "microbatch": MICROBATCH_TEXT, "lines": CHUNKED_TEXT,
+}
+
+
 def prepare(profile: str) -> dict[str, Column]:
     """Columns to tidy in a projection of their own, before `columns` reads them several times each.
 
@@ -137,6 +145,7 @@ def prepare(profile: str) -> dict[str, Column]:
     """
     columns = ["date", "modified_date"] if profile == "lines" else DATE_COLUMNS
     tidy = {c: dates.date_text(F.col(c), profile) for c in columns}
+    tidy |= {c: repair_text(F.col(c), profile) for c in TEXT[profile]}
     if profile == "datamart":
         tidy["modified_date"] = strip(F.col("modified_date"))
     if profile == "microbatch":
