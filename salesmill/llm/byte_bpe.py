@@ -38,10 +38,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Pieces:
     """Cuts text where the pretoken pattern always cuts: before a white-space run that follows something else."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, memo: int = 400_000):
         """encode: from a piece to what is kept for it."""
-        self.whole = Recent(encode)
-        self.spaced = Recent(lambda piece: encode(" " + piece))
+        self.whole = Recent(encode, memo // 2)
+        self.spaced = Recent(lambda piece: encode(" " + piece), memo)
         self.slow = regex.compile(r"\s*\S+|\s+")
 
     def __call__(self, text: str) -> Iterator:
@@ -60,12 +60,12 @@ class Pieces:
 class Transducer:
     """Emits the tokens of byte strings; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
         self.ranks = ranks
         self.longest = max(map(len, ranks), default=1)
         self.prefixes = {token[:i] for token in ranks for i in range(1, len(token))}
         self.max_states = max_states
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.split: dict[bytes, tuple[bytes, bytes]] = {}
         self.reset()
 
@@ -106,11 +106,12 @@ class Transducer:
         """
         if not before:
             return self.reached(token)
-        known = self.pairs.get((before, token))
+        key = self.ranks[before] << 32 | self.ranks[token]
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > 2 * self.max_states:
                 self.pairs.clear()
-            known = self.pairs[before, token] = self.reached(token) and self._apart(before, token)
+            known = self.pairs[key] = self.reached(token) and self._apart(before, token)
         return known
 
     def _apart(self, left: bytes, right: bytes) -> bool:
@@ -235,7 +236,7 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         find = regex.compile(pattern).findall
         encode = self.machine.encode
-        self.pieces = Pieces(lambda piece: np.array([i for m in find(piece) for i in encode(m.encode())], np.int32).tobytes())
+        self.pieces = Pieces(lambda piece: np.array([i for m in find(piece) for i in encode(m.encode())], np.int32).tobytes(), memo=250_000)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.pieces(text)), np.int32)
@@ -278,7 +279,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
 def lists(column: pa.Array) -> Iterator[np.ndarray]:
     """The arrays of a list<int32> column, null as empty."""
-    flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()  # offsets of a slice point into the whole values
     return (flat[a:b] for a, b in zip(offsets, offsets[1:]))
 
 

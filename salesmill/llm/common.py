@@ -43,14 +43,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """`df` with each Arrow batch mapped; `build` runs once per task and returns the function of a batch."""
+def map_batches(
+    df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int = 1000
+) -> DataFrame:
+    """`df` with each Arrow batch mapped, `rows` at a time; `build` runs once per task and returns the function of a batch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = build()
         for batch in batches:
-            if batch.num_rows:
-                yield one(batch)
+            for start in range(0, batch.num_rows, rows):
+                yield one(batch.slice(start, rows))
 
     return df.mapInArrow(task, schema)
 

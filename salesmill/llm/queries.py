@@ -39,16 +39,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of doc_id, ids, text."""
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [",".join(map(str, x.tolist())) for x in byte_bpe.lists(batch.column(1))]
-        digest = lambda values: pa.array([hashlib.sha256(v.encode()).hexdigest() for v in values], pa.string())
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) for x in byte_bpe.lists(batch.column(1))], pa.int64()), digest(ids), digest(texts(batch.column(2)))],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
-
-    return map_batches(decoded, lambda: one, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
