@@ -75,6 +75,7 @@ class Transducer:
         #: (None: no token to come can start there).
         self.open: list[tuple[bytes, bytes, list[int | None]]] = []
         self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.missed: set[int] = set()
         self.ends: dict[int, tuple[int, ...]] = {}
         self.start = self._state(b"", b"", [0])
 
@@ -183,15 +184,39 @@ class Transducer:
             end = last[end]
         return tuple(out[::-1])
 
+    def _rest(self, state: int, rest: bytes) -> list[int]:
+        """The tokens from `state` to the end without new states: the last token of each prefix, then back from the end."""
+        before, pending, last = self.open[state]
+        data, last = pending + rest, [*last]
+        ranks, fits, longest = self.ranks, self.fits, self.longest
+        for n in range(len(last), len(data) + 1):
+            found = None
+            for s in range(max(0, n - longest), n):
+                if last[s] is not None:
+                    token = data[s:n]
+                    if token in ranks and fits(data[last[s] : s] if s else before, token):
+                        found = s
+                        break
+            last.append(found)
+        out, end = [], len(data)
+        while end:
+            out.append(ranks[data[last[end] : end]])
+            end = last[end]
+        return out[::-1]
+
     def encode(self, raw: bytes) -> list[int]:
-        if len(self.open) > self.max_states:
+        if len(self.open) > self.max_states or len(self.missed) > 4 * self.max_states:
             self.reset()
         out: list[int] = []
-        state, arcs = self.start, self.arcs
-        for byte in raw:
+        state, arcs, missed = self.start, self.arcs, self.missed
+        for i, byte in enumerate(raw):
             key = state << 8 | byte
             arc = arcs.get(key)
             if arc is None:
+                # An arc is made when it is wanted a second time: the ends of most rare words never are.
+                if key not in missed and len(raw) - i <= self.longest:
+                    missed.add(key)
+                    return out + self._rest(state, raw[i:])
                 arc = arcs[key] = self._arc(state, byte)
             state, emitted = arc
             if emitted:
@@ -236,7 +261,9 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         find = regex.compile(pattern).findall
         encode = self.machine.encode
-        self.pieces = Pieces(lambda piece: np.array([i for m in find(piece) for i in encode(m.encode())], np.int32).tobytes(), memo=250_000)
+        self.matches = Recent(lambda match: np.array(encode(match.encode()), np.int32).tobytes(), 150_000)
+        of_match = self.matches.__getitem__
+        self.pieces = Pieces(lambda piece: b"".join(map(of_match, find(piece))), memo=200_000)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.pieces(text)), np.int32)

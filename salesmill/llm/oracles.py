@@ -65,3 +65,63 @@ SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN common c USING (key) GROUP BY doc_id
 """
+
+ORACLES["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS u, vec_id AS v FROM embeddings
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), component AS (
+  SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u
+), counts AS (
+  SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counts USING (vec_id)
+"""
+
+# The given conversations hold no control string, so that only the added one has escapes (of "</s>", "[INST] ", " [/INST]").
+ORACLES["op3_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), rendered AS (
+  SELECT *, CASE
+    WHEN conv_id = -1 AND role = 'user' THEN replace(replace(replace(text, '</s>', '\</s>'), '[INST] ', '\[INST] '), ' [/INST]', '\ [/INST]')
+    WHEN conv_id = -1 THEN replace(replace(replace(text, '</s>', '\</s>'), '[INST] ', '\[INST] '), ' [/INST]', '\ [/INST]')
+    ELSE text END AS body FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length(body) + CASE role WHEN 'user' THEN length('<s>[INST] ' || ' [/INST]') WHEN 'assistant' THEN length('<s>[REPLY] ' || '</s>')
+    ELSE length('<s>[ROLE ' || role || '] ' || ' [/ROLE]') END)::BIGINT AS formatted_chars
+FROM rendered GROUP BY conv_id
+"""
+
+ORACLES["op10_substring_dedup"] = r"""
+WITH base AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS w
+  FROM base, LATERAL (SELECT unnest(generate_series(1, len(words) - 49)) AS i)
+), later AS (
+  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY w) < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + s AS i FROM later, (SELECT unnest(generate_series(0, 49)) AS s)
+), words AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM base
+), kept AS (
+  SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE gone.i IS NULL) AS t, count(gone.i) AS n_removed
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM base LEFT JOIN kept USING (doc_id)
+"""
