@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -62,10 +63,23 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
         self.ranks = ranks
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.prefixes = {token[:i] for token in ranks for i in range(1, len(token))}
         self.max_states = max_states
         self.pairs: dict[int, bool] = {}
+        #: A trie of the tokens: arcs by node << 8 | byte, and the rank of the token that ends at a node.
+        self.trie: dict[int, int] = {}
+        self.token_at = [-1]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                to = self.trie.get(node << 8 | byte)
+                if to is None:
+                    to = self.trie[node << 8 | byte] = len(self.token_at)
+                    self.token_at.append(-1)
+                node = to
+            self.token_at[node] = rank
         self.split: dict[bytes, tuple[bytes, bytes]] = {}
         self.reset()
 
@@ -99,20 +113,20 @@ class Transducer:
         """Whether merging the bytes of `token` gives it."""
         return len(token) == 1 or bool(self.halves(token)[1])
 
-    def fits(self, before: bytes, token: bytes) -> bool:
-        """Whether the merges leave these two adjacent tokens as they are.
+    def fits(self, before: int, token: int) -> bool:
+        """Whether the merges leave these two adjacent tokens (ranks; -1: nothing before) as they are.
 
         They don't if a part at the end of the first and one at the start of the second, alive at the same time, merge
         before the later of the merges that use them up.
         """
-        if not before:
-            return self.reached(token)
-        key = self.ranks[before] << 32 | self.ranks[token]
+        key = before << 32 | token
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > 2 * self.max_states:
                 self.pairs.clear()
-            known = self.pairs[key] = self.reached(token) and self._apart(before, token)
+            right = self.bytes_of[token]
+            known = self.reached(right) and (before < 0 or self._apart(self.bytes_of[before], right))
+            self.pairs[key] = known
         return known
 
     def _apart(self, left: bytes, right: bytes) -> bool:
@@ -150,7 +164,7 @@ class Transducer:
         for s in range(max(0, n - self.longest), n):
             if last[s] is not None:
                 token = pending[s:]
-                if token in ranks and fits(pending[last[s] : s] if s else before, token):
+                if token in ranks and fits(ranks.get(pending[last[s] : s] if s else before, -1), ranks[token]):
                     last[n] = s
                     break
         emitted: tuple[int, ...] = ()
@@ -185,24 +199,41 @@ class Transducer:
         return tuple(out[::-1])
 
     def _rest(self, state: int, rest: bytes) -> list[int]:
-        """The tokens from `state` to the end without new states: the last token of each prefix, then back from the end."""
-        before, pending, last = self.open[state]
-        data, last = pending + rest, [*last]
-        ranks, fits, longest = self.ranks, self.fits, self.longest
-        for n in range(len(last), len(data) + 1):
-            found = None
-            for s in range(max(0, n - longest), n):
-                if last[s] is not None:
-                    token = data[s:n]
-                    if token in ranks and fits(data[last[s] : s] if s else before, token):
-                        found = s
-                        break
-            last.append(found)
-        out, end = [], len(data)
-        while end:
-            out.append(ranks[data[last[end] : end]])
-            end = last[end]
-        return out[::-1]
+        """The tokens from `state` to the end without new states: longest tokens first, going back where none fits.
+
+        A prefix has one valid last token, so a place from which the end was not reached need not be tried again.
+        """
+        before, pending, _ = self.open[state]
+        data = pending + rest
+        trie, token_at, pairs, fits = self.trie.get, self.token_at, self.pairs.get, self.fits
+        size, at, last = len(data), 0, self.ranks.get(before, -1)
+        out: list[int] = []
+        back: list[tuple[int, int, list[tuple[int, int]]]] = []  # place, token before it, what is left to try there
+        dead: set[int] = set()
+        while at < size:
+            tries, node, n = [], 0, at
+            while n < size:
+                node = trie(node << 8 | data[n])
+                if node is None:
+                    break
+                n += 1
+                if (token := token_at[node]) >= 0:
+                    tries.append((n, token))
+            while True:
+                if tries:
+                    n, token = tries.pop()
+                    if n not in dead:
+                        known = pairs(last << 32 | token)
+                        if fits(last, token) if known is None else known:
+                            break
+                else:
+                    dead.add(at)
+                    at, last, tries = back.pop()
+                    out.pop()
+            back.append((at, last, tries))
+            out.append(token)
+            at, last = n, token
+        return out
 
     def encode(self, raw: bytes) -> list[int]:
         if len(self.open) > self.max_states or len(self.missed) > 4 * self.max_states:
@@ -258,10 +289,10 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
         self.machine = Transducer(ranks)
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.bytes_of = self.machine.bytes_of
         find = regex.compile(pattern).findall
         encode = self.machine.encode
-        self.matches = Recent(lambda match: np.array(encode(match.encode()), np.int32).tobytes(), 150_000)
+        self.matches = Recent(lambda match: array("i", encode(match.encode())).tobytes(), 150_000)
         of_match = self.matches.__getitem__
         self.pieces = Pieces(lambda piece: b"".join(map(of_match, find(piece))), memo=200_000)
 

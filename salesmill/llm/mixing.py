@@ -1,6 +1,6 @@
 """Mixing sources to target weights by soft membership.
 
-A softmax classifier over hashed words is trained on a bounded sample of labelled documents and gives every document a
+A softmax classifier over telling words is trained on a bounded sample of labelled documents and gives every document a
 posterior over the domains. Each document then gets a rate r >= 0 such that the expected tokens of each domain,
 sum over documents of rate * tokens * posterior, come as close as possible to target totals.
 
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, map_batches, staged, texts
+from .common import Recent, long_list, map_batches, staged, texts
 
 #: Domains of the labels table, from its marks.
 DOMAINS = ("clean", "low", "toxic")
@@ -36,37 +36,51 @@ def domain_of(quality: str = "quality", toxic: str = "toxic") -> Column:
     return F.when(F.col(toxic) == 1, 2).when(F.col(quality) == 0, 1).when(F.col(quality) == 1, 0)
 
 
+#: Words are hashed to this many slots before the classifier picks its own.
+SLOTS = 1 << 18
+
+
+def slot_of(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word, 7) % SLOTS
+
+
 class Features:
-    """Counts of a text's words in `dims` - 4 hashed slots, and four figures of its shape; plus its number of words."""
+    """Which of the chosen word slots a text has, and four figures of its shape and a constant; plus its number of words."""
 
-    def __init__(self, dims: int):
-        self.dims = dims
-        self.slots = dims - 4
-        self.slot = Recent(lambda word: xxhash.xxh3_64_intdigest(word, 7) % self.slots)
+    def __init__(self, chosen: list[int]):
+        at = {slot: i for i, slot in enumerate(chosen)}
+        self.n = len(chosen)
+        self.column = Recent(lambda word: at.get(slot_of(word), self.n), 300_000)
 
     def __call__(self, text: str) -> tuple[np.ndarray, int]:
         words = text.lower().encode().split()
         n = len(words)
-        out = np.zeros(self.dims)
+        out = np.zeros(self.n + 5)
         if n:
-            slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, n)
-            # Square roots of relative frequencies have length one whatever the text's length.
-            out[: self.slots] = np.sqrt(np.bincount(slots, minlength=self.slots) / n)
-            distinct = len(set(words))
-            out[self.slots :] = 1.0, distinct / n, np.log1p(n) / 10, sum(map(text.count, "#*$%&|<>")) / max(1, len(text))
+            distinct = set(words)
+            out[np.fromiter(map(self.column.__getitem__, distinct), np.int64, len(distinct))] = 1.0
+            chars = max(1, len(text))
+            out[self.n :] = 1.0, len(distinct) / n, np.log1p(n) / 10, sum(map(text.count, "#*$%&|<>")) / chars, n / chars
         return out, n
 
 
 def train(x: np.ndarray, y: np.ndarray, classes: int, l2: float = 1e-4, rounds: int = 300) -> np.ndarray:
     """Softmax weights (features x classes) by accelerated gradient descent; deterministic."""
-    w = seen = np.zeros((x.shape[1], classes))
-    target = np.eye(classes)[y]
+    mean, std = x.mean(0), x.std(0)
+    std[std == 0] = 1.0
+    x = (x - mean) / std
+    x[:, -5] = 1.0  # the constant
+    w = seen = np.zeros((x.shape[1], classes), x.dtype)
+    target = np.eye(classes, dtype=x.dtype)[y]
     step = 1 / (0.5 * np.linalg.norm(x.T @ x / len(x), 2) + l2)
     for i in range(rounds):
         p = softmax(x @ seen)
         new = seen - step * (x.T @ (p - target) / len(x) + l2 * seen)
         seen, w = new + i / (i + 3) * (new - w), new
-    return w
+    mean[-5], std[-5] = 0.0, 1.0
+    w = w / std[:, None]
+    w[-5] -= mean @ w
+    return w.astype(np.float64)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -79,7 +93,7 @@ class Classifier:
     weights: np.ndarray
     present: list[int]
     classes: int
-    dims: int
+    chosen: list[int]
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), self.classes))
@@ -87,8 +101,28 @@ class Classifier:
         return out
 
 
+def _choose_slots(sample: DataFrame, classes: int, words: int) -> list[int]:
+    """The slots whose presence depends most on the domain (chi-square), over the labelled sample."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.unique([slot_of(w) for w in set(t.lower().encode().split())]).astype(np.int64) for t in texts(batch.column("text"))]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([batch.column("domain"), long_list(np.concatenate([np.empty(0, np.int64), *found]), offsets)], names=["domain", "slots"])
+
+    has = map_batches(sample, lambda: one, "domain int, slots array<long>")
+    totals = {r.domain: r["count"] for r in sample.groupBy("domain").count().collect()}
+    everything = sum(totals.values())
+    counts = has.select("domain", F.explode("slots").alias("slot")).groupBy("slot").agg(
+        F.count("*").alias("n"), *(F.count_if(F.col("domain") == k).alias(f"n{k}") for k in totals)
+    )
+    expected = {k: F.col("n") * (total / everything) for k, total in totals.items()}
+    chi = sum(((F.col(f"n{k}") - expected[k]) ** 2 / expected[k] for k in totals), F.lit(0.0))
+    best = counts.where("n >= 3").select("slot", F.round(chi, 6).alias("chi")).orderBy(F.desc("chi"), "slot").limit(words)
+    return sorted(r.slot for r in best.collect())
+
+
 def fit_classifier(
-    docs: DataFrame, labels: DataFrame, domain: Column, classes: int = len(DOMAINS), max_labelled: int = 20_000, dims: int = 516,
+    docs: DataFrame, labels: DataFrame, domain: Column, classes: int = len(DOMAINS), max_labelled: int = 20_000, words: int = 500,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> Classifier:
     """Trained on the labelled documents; of more than `max_labelled` those with the least hash of their id."""
@@ -96,9 +130,12 @@ def fit_classifier(
     marked = marked.groupBy("label_id").agg(F.max("domain").alias("domain")).orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sample = rows.join(F.broadcast(marked), rows["doc_id"] == marked["label_id"]).select("doc_id", "domain", "text")
+    # Repeated ids could bring more rows than labels: one row for each id.
+    sample = staged(sample.groupBy("doc_id").agg(F.max("domain").alias("domain"), F.max("text").alias("text")))
+    chosen = _choose_slots(sample, classes, words)
 
     def build():
-        features = Features(dims)
+        features = Features(chosen)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             x = [features(t)[0].astype(np.float32).tobytes() for t in texts(batch.column("text"))]
@@ -106,20 +143,19 @@ def fit_classifier(
 
         return one
 
-    # Repeated ids could bring more rows than labels: the bound holds for what is collected, too.
-    found = map_batches(sample, build, "doc_id long, domain int, x binary").orderBy(F.xxhash64("doc_id", "x")).limit(max_labelled).toArrow()
+    found = map_batches(sample, build, "doc_id long, domain int, x binary").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     y = found.column("domain").to_numpy()
     present = sorted(set(y.tolist())) or [0]
-    x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float32).reshape(-1, dims)
-    weights = train(x.astype(np.float64), np.searchsorted(present, y), len(present)) if len(present) > 1 else np.zeros((dims, 1))
-    return Classifier(weights, present, classes, dims)
+    x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float32).reshape(-1, len(chosen) + 5)
+    weights = train(x, np.searchsorted(present, y), len(present)) if len(present) > 1 else np.zeros((x.shape[1], 1))
+    return Classifier(weights, present, classes, chosen)
 
 
 def posteriors(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row (hash of the text), n_tokens (words), p (array of the domains' posteriors): one row per row of `docs`."""
 
     def build():
-        features = Features(model.dims)
+        features = Features(model.chosen)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             p, n = [], []
@@ -181,7 +217,7 @@ class Fit:
     targets: np.ndarray
 
 
-def fit_rates(rows: DataFrame, targets, classes: int = len(DOMAINS), rounds: int = 25, tolerance: float = 1e-6) -> Fit:
+def fit_rates(rows: DataFrame, targets, classes: int = len(DOMAINS), rounds: int = 12, tolerance: float = 1e-4) -> Fit:
     """Projected-gradient steps until every domain's expected tokens are within `tolerance` of the largest target.
 
     targets: the domains' target totals, or a function from the present totals to them.
@@ -225,7 +261,7 @@ def weighted_targets(weights: np.ndarray, keep: int = 0):
     return lambda totals: share / share[keep] * totals[keep]
 
 
-def mixed(docs: DataFrame, labels: DataFrame, weights=(0.85, 0.15, 0.0), max_labelled: int = 20_000) -> tuple[DataFrame, Fit]:
+def mixed(docs: DataFrame, labels: DataFrame, weights=(0.85, 0.14, 0.01), max_labelled: int = 20_000) -> tuple[DataFrame, Fit]:
     """doc_id, row, n_tokens, p, rate for every row of `docs`, and the fit."""
     model = fit_classifier(docs, labels, domain_of(), max_labelled=max_labelled)
     rows = staged(posteriors(docs, model))

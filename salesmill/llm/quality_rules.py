@@ -122,7 +122,11 @@ def verdicts(
     docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:
     """doc_id, host, measures, base_failed, host_rejected, kept: one row per row of `docs`."""
-    found = staged(measured(docs, id_col, text_col, host_col))
+    return judged(staged(measured(docs, id_col, text_col, host_col)), limits)
+
+
+def judged(found: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """`found` (a table with host and the measures, read twice) with base_failed, host_rejected and kept."""
     bad = host_rates(found, limits).where(F.col("shrunk") > limits.max_rate).select("host", F.lit(True).alias("bad")).distinct()
     rule = rules(limits)
     return (

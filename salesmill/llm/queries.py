@@ -15,7 +15,7 @@ from .oracles import ORACLES as ORACLES
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates under which clean, low-quality and toxic text make up 85, 15 and 0 percent of the expected words."""
+    """Rates under which clean, low-quality and toxic text make up 85, 14 and 1 percent of the expected words."""
     rated, _ = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     columns = [F.col("p")[i].alias(f"p_{name}") for i, name in enumerate(mixing.DOMAINS)]
     return rated.select("doc_id", "n_tokens", *columns, "rate")

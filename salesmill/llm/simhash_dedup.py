@@ -55,15 +55,15 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long): one row per row of `docs`."""
+def fingerprints(docs: DataFrame, keys: list[str], width: int = 5, text_col: str = "text") -> DataFrame:
+    """The key columns and fp (the 64 bits as a signed long): one row per row of `docs`."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = [fingerprint(shingle_hashes(t, width)) for t in texts(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+        fps = [fingerprint(shingle_hashes(t, width)) for t in texts(batch.column("_text"))]
+        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(np.array(fps, np.uint64).view(np.int64))], names=[*keys, "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(rows, lambda: one, "doc_id long, fp long")
+    rows = docs.select(*keys, F.col(text_col).alias("_text"))
+    return map_batches(rows, lambda: one, rows.select(*keys, F.lit(0).cast("long").alias("fp")).schema)
 
 
 def pivots() -> np.ndarray:
@@ -192,15 +192,22 @@ def fingerprint_links(fps: DataFrame, radius: int = 3, cell_limit: int = 20_000)
     return links.union(paired.repartition(partitions, "cell").sortWithinPartitions("cell").mapInArrow(compare, "u long, v long"))
 
 
+def classes_of(
+    docs: DataFrame, keys: list[str], id_col: str, width: int = 5, radius: int = 3, text_col: str = "text", cell_limit: int = 20_000
+) -> DataFrame:
+    """The key columns (`id_col` among them), fp, component (a fingerprint of the class) and component_id (its least id)."""
+    fps = staged(fingerprints(docs, keys, width, text_col))
+    least = fps.groupBy("fp").agg(F.min(id_col).alias("_least"))
+    roots = components(fingerprint_links(fps, radius, cell_limit))
+    named = staged(least.join(roots, least["fp"] == roots["node"], "left").select("fp", "_least", F.coalesce("component", "fp").alias("component")))
+    ids = named.groupBy("component").agg(F.min("_least").alias("component_id"))
+    return fps.join(named.join(ids, "component").select("fp", "component", "component_id"), "fp")
+
+
 def simhash_classes(
     docs: DataFrame, width: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", cell_limit: int = 20_000
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: one row per row of `docs`."""
-    fps = staged(fingerprints(docs, width, id_col, text_col))
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = staged(components(fingerprint_links(fps, radius, cell_limit)))
-    named = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = staged(named)
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_fp = named.join(ids, "component").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    classes = classes_of(rows, ["doc_id"], "doc_id", width, radius, "text", cell_limit)
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
