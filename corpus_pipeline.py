@@ -50,10 +50,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more lose all their copies; a document left without a line goes."""
     marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs=10))
+    names = docs.columns
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept = [line_dedup.kept_text(t, b)[0] if b is not None else t for t, b in zip(batch.column("text").to_pylist(), batch.column("_bitmap").to_pylist())]
-        columns = {name: batch.column(name) for name in docs.columns} | {"text": pa.array(kept, pa.string())}
+        columns = {name: batch.column(name) for name in names} | {"text": pa.array(kept, pa.string())}
         if "n_chars" in columns:
             columns["n_chars"] = pa.array([len(t) if t is not None else None for t in kept]).cast(columns["n_chars"].type)
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
