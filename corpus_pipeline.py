@@ -48,7 +48,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more lose all their copies; a document left without a line goes."""
+    """Lines found in ten documents or more stay in the first one only; a document left without a line goes."""
     marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs=10))
     names = docs.columns
 

@@ -93,12 +93,11 @@ def settle(edges: list[tuple]) -> dict[tuple[int, int], tuple[int, int]]:
 
 
 def dropped_lines(
-    docs: DataFrame, min_docs: int | None = None, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_docs: int = 1, keep_first: bool = True, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc, row, pos: the lines to drop.
+    """doc, row, pos: the lines to drop, of keys found in `min_docs` documents or more.
 
-    min_docs=None keeps the first occurrence of each key (by document, then position) and drops the later ones;
-    a number drops every line of keys found in that many documents or more, and nothing else.
+    keep_first spares the first occurrence of each key (by document, then position).
     """
     spark = docs.sparkSession
     lines = staged(map_batches(_with_row(docs, id_col, text_col), lambda: lambda b: _line_rows(b, min_chars), "high long, low long, doc long, row long, pos int"))
@@ -113,7 +112,7 @@ def dropped_lines(
         edge = np.zeros(len(s.starts), bool)
         edge[[0, -1]] = True
         open_ = edge[s.key]
-        sure = ~open_ & (~s.new_key if min_docs is None else s.docs[s.key] >= min_docs)
+        sure = ~open_ & (s.docs[s.key] >= min_docs) & ~(s.new_key & keep_first)
         take = np.flatnonzero(open_ | sure)
         undecided, begins = open_[take], s.new_key[take]
         last = np.append(s.starts[1:], len(s.high)) - 1
@@ -138,7 +137,7 @@ def dropped_lines(
     crossing = spark.createDataFrame(
         [(*key, *value) for key, value in settle(sorted(map(tuple, edges))).items()], "high long, low long, total long, first_part int"
     )
-    stays = F.col("begins") & (F.col("part") == F.col("first_part")) if min_docs is None else F.col("total") < min_docs
+    stays = (F.col("total") < min_docs) | (F.lit(keep_first) & F.col("begins") & (F.col("part") == F.col("first_part")))
     return found.join(F.broadcast(crossing), ["high", "low"], "left").where(F.col("high").isNull() | ~stays).select("doc", "row", "pos")
 
 
@@ -171,8 +170,10 @@ def keep_bitmaps(dropped: DataFrame) -> DataFrame:
     return map_batches(grouped, lambda: one, "doc long, row long, bitmap binary")
 
 
-def line_bitmaps(docs: DataFrame, min_docs: int | None = None, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return keep_bitmaps(dropped_lines(docs, min_docs, min_chars, id_col, text_col))
+def line_bitmaps(
+    docs: DataFrame, min_docs: int = 1, keep_first: bool = True, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    return keep_bitmaps(dropped_lines(docs, min_docs, keep_first, min_chars, id_col, text_col))
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -91,7 +91,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs=10))
+    marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs=10, keep_first=False))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept = [line_dedup.kept_text(t, b) for t, b in zip(texts(batch.column("text")), batch.column("_bitmap").to_pylist())]
