@@ -241,9 +241,13 @@ def removed_spans(
     windows = Windows(width, gram)
 
     def passages(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(d, w.split(" "), np.array(h), np.array(o)) for d, w, h, o in zip(*(batch.column(c).to_pylist() for c in ("doc", "words", "hashes", "own")))]
-        out = [(doc, words[a : b + width - 1]) for doc, words, hashes, own in rows for a, b in _runs(np.isin(hashes, own))]
-        anchors = [np.unique(windows([w.encode() for w in words])[0]).view(np.int64) for _, words in out]
+        out, anchors = [], []
+        for doc, text, own in zip(*(batch.column(c).to_pylist() for c in ("doc", "words", "own"))):
+            words = text.encode().split(b" ")
+            anchor, hashes = windows(words)
+            for a, b in _runs(np.isin(hashes.view(np.int64), np.array(own, np.int64))):
+                out.append((doc, [w.decode() for w in words[a : b + width - 1]]))
+                anchors.append(np.unique(anchor[a:b]).view(np.int64))
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in anchors])]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
@@ -253,18 +257,21 @@ def removed_spans(
             names=["doc", "words", "n", "anchors"],
         )
 
-    owned = runs.join(firsts, runs["doc"] == firsts["first_doc"]).select("doc", "words", "hashes", "own")
+    owned = runs.join(firsts, runs["doc"] == firsts["first_doc"]).select("doc", "words", "own")
     reference = staged(map_batches(owned, lambda: passages, "doc long, words string, n long, anchors array<long>").distinct())
     shards = max(1, -(-(reference.agg(F.sum("n")).first()[0] or 0) // shard_words))
-    reference = reference.withColumn("shard", F.pmod(F.xxhash64("doc", "words"), F.lit(shards)).cast("int"))
+    reference = reference.withColumn("shard", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int"))
 
     holds = reference.select(F.explode("anchors").alias("anchor"), "shard").distinct()
-    wanted = runs.select("doc", "row", "start", F.explode("anchors").alias("anchor")).join(holds, "anchor").select("doc", "row", "start", "shard").distinct()
-    streamed = runs.select("doc", "row", "start", "words").distinct().join(wanted, ["doc", "row", "start"])
-    streamed = staged(streamed.withColumn("n", F.length("words")))
-    # Characters are about six times the words. One row per shard.
-    slices = streamed.groupBy("shard").agg(F.ceil(F.sum("n") / (6 * task_words)).cast("int").alias("slices"))
-    streamed = streamed.join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64("doc", "row", "start"), F.col("slices")).cast("int"))
+    # Passages of a document share a shard, so a run, which is mostly one document's text, goes to few.
+    wanted = (
+        runs.select("doc", "row", "start", (F.size("hashes") + (width - 1)).alias("n"), F.explode("anchors").alias("anchor"))
+        .join(holds, "anchor").select("doc", "row", "start", "n", "shard").distinct()
+    )
+    wanted = staged(wanted)
+    slices = wanted.groupBy("shard").agg(F.ceil(F.sum("n") / task_words).cast("int").alias("slices"))  # one row per shard
+    wanted = wanted.join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64("doc", "row", "start"), F.col("slices")).cast("int"))
+    streamed = runs.select("doc", "row", "start", "words").join(wanted.drop("n"), ["doc", "row", "start"])
     sent = reference.join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
     def past(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
