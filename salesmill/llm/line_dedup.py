@@ -77,6 +77,9 @@ class Stream:
         self.key = np.cumsum(self.new_key) - 1
         self.docs = np.bincount(self.key, self.new_doc).astype(np.int64)
         self.starts = np.flatnonzero(self.new_key)
+        start = self.starts[self.key]
+        #: The first occurrence; rows that repeat it (equal tuples share a partition) count as it.
+        self.first = (self.doc == self.doc[start]) & (self.row == self.row[start]) & (self.pos == self.pos[start])
 
 
 def settle(edges: list[tuple]) -> dict[tuple[int, int], tuple[int, int]]:
@@ -112,16 +115,16 @@ def dropped_lines(
         edge = np.zeros(len(s.starts), bool)
         edge[[0, -1]] = True
         open_ = edge[s.key]
-        sure = ~open_ & (s.docs[s.key] >= min_docs) & ~(s.new_key & keep_first)
+        sure = ~open_ & (s.docs[s.key] >= min_docs) & ~(s.first & keep_first)
         take = np.flatnonzero(open_ | sure)
-        undecided, begins = open_[take], s.new_key[take]
+        undecided, begins, opens = open_[take], s.first[take], s.new_key[take]
         last = np.append(s.starts[1:], len(s.high)) - 1
         of = s.key[take]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(s.doc[take]), pa.array(s.row[take]), pa.array(s.pos[take].astype(np.int32)),
                 pa.array(s.high[take], mask=~undecided), pa.array(s.low[take], mask=~undecided), pa.array(begins),
-                pa.array(s.docs[of], mask=~(undecided & begins)), pa.array(s.doc[last][of], mask=~(undecided & begins)),
+                pa.array(s.docs[of], mask=~(undecided & opens)), pa.array(s.doc[last][of], mask=~(undecided & opens)),
             ],
             names=["doc", "row", "pos", "high", "low", "begins", "docs", "last"],
         )

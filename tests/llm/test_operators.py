@@ -188,7 +188,7 @@ def brute_lines(rows, min_docs, keep_first):
 
 @pytest.mark.parametrize("min_docs,keep_first", [(10, False), (1, True), (2, True), (3, False)])
 def test_line_dedup(spark, corpus, min_docs, keep_first):
-    rows = [x for n, x in enumerate(corpus) if x not in corpus[:n]] if keep_first else corpus
+    rows = corpus
     docs = docs_of(spark, rows)
     marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs, keep_first)).collect()
     same([(x.doc_id, line_dedup.kept_text(x.text or "", x._bitmap)[0]) for x in marked], brute_lines(rows, min_docs, keep_first))
