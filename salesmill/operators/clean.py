@@ -41,7 +41,7 @@ def clean(df: DataFrame, profile: str | Profile, as_of=None) -> DataFrame:
     rows = rows.select(*[(tidy[c] if c in have and c in tidy else raw[c]).alias(c) for c in RAW_COLUMNS])
     value = {c: exprs.get(c, F.col(c)) if c in have else F.col(c) for c in RAW_COLUMNS}
     typed = rows.select(
-        *[value[c].cast(p.schema[c].dataType).alias(c) for c in RAW_COLUMNS],
+        *[value[c].try_cast(p.schema[c].dataType).alias(c) for c in RAW_COLUMNS],
         *[F.col(c).alias(f"_raw_{c}") for c in ("quantity", "unit_price")],
     )
     if p.require_date:
