@@ -388,7 +388,7 @@ def oracles() -> dict[str, str]:
 
     o["impute_levels"] = over(filled("datamart"), f"SELECT impute_level, {COUNT} AS n, round(avg(unit_price_imput), 6) AS avg_price FROM filled WHERE transaction_id <> 'UNKNOWN' GROUP BY 1")
     shown = f"transaction_id, {', '.join(KEYS)}, unit_price, unit_price_imput, impute_level"
-    for name, p in [("impute_datamart", "datamart"), ("impute_nulls_only", "external"), ("impute_chunked", "chunked")]:
+    for name, p in [("impute_datamart", "datamart"), ("impute_shuffled", "datamart"), ("impute_nulls_only", "external"), ("impute_chunked", "chunked")]:
         o[name] = over(filled(p), f"SELECT {shown} FROM filled")
     o["impute_one_level"] = over(filled("lines"), f"SELECT transaction_id, {', '.join(KEYS[:3])}, unit_price, unit_price_imput FROM filled")
     levels = {"product": KEYS[:3], "category": KEYS[:2] + KEYS[3:], "region": KEYS[:2]}
@@ -423,7 +423,7 @@ def oracles() -> dict[str, str]:
 
     o["csv_roundtrip"] = o["bronze"] = over("", f"SELECT {csv_cells()} FROM raw")
     o["csv_jagged"] = over("", f"SELECT {jagged()} FROM raw")
-    o["csv_corrupt"] = over("", f"SELECT product_id, CASE WHEN customer_segment IS NULL THEN 'short_row' END AS reason, {COUNT} AS n FROM raw GROUP BY 1, 2")
+    o["csv_corrupt"] = over("", f"SELECT product_id, CASE WHEN customer_segment IS NULL THEN 'short_row' WHEN status IS NULL THEN 'long_row' END AS reason, {COUNT} AS n FROM raw GROUP BY 1, 2")
     o["external_view"] = over("", "SELECT transaction_id, '\"' || region || '\",' || chr(10) || product_id AS notes, nullif(modified_date, '') AS modified_date FROM raw")
     o["lines_parse"] = over(LINES, "SELECT * FROM lines")
     o["lines_text"] = lines_text()

@@ -34,9 +34,12 @@ def _inexact(c: Column) -> Column:
 
 
 def sum_parts(c: Column) -> dict[str, Column]:
-    """Mergeable partial state of a sum: exact part, float part, values the exact part cannot hold, count."""
+    """Mergeable partial state of a sum: exact part, float part, values the exact part cannot hold, count.
+
+    The exact part is NULL where even the sum of exact values no longer fits.
+    """
     return {
-        "s_exact": F.sum(c.try_cast(EXACT_TYPE)),
+        "s_exact": F.try_sum(c.try_cast(EXACT_TYPE)),
         "s_float": F.sum(c),
         "n_inexact": F.count_if(_inexact(c)),
         "n": F.count(c),
@@ -44,11 +47,12 @@ def sum_parts(c: Column) -> dict[str, Column]:
 
 
 def merge_parts() -> dict[str, Column]:
-    """Aggregates that merge rows made by `sum_parts`."""
+    """Aggregates that merge rows made by `sum_parts`; a part that overflowed makes its merged sum a float one."""
+    overflowed = F.col("s_exact").isNull() & (F.col("n") > F.col("n_inexact"))
     return {
-        "s_exact": F.sum("s_exact"),
+        "s_exact": F.try_sum("s_exact"),
         "s_float": F.sum("s_float"),
-        "n_inexact": F.coalesce(F.sum("n_inexact"), F.lit(0)),
+        "n_inexact": F.coalesce(F.sum(F.col("n_inexact") + overflowed.cast("long")), F.lit(0)),
         "n": F.coalesce(F.sum("n"), F.lit(0)),
     }
 
@@ -64,9 +68,10 @@ def parts_mean(s_exact="s_exact", s_float="s_float", n_inexact="n_inexact", n="n
 
 
 def exact_sum(c: Column) -> Column:
-    """Sum of doubles that does not depend on row order or task retries.
+    """Sum of doubles that does not depend on row order or task retries while decimals can carry it.
 
-    Adds decimals wherever every value of the group is one, and falls back to the float sum elsewhere.
+    Adds decimals wherever every value of the group is one and the sum fits, and falls back to the float sum,
+    which depends on the order in its last digits, elsewhere.
     """
     p = sum_parts(c)
     return _total(p["s_exact"], p["s_float"], p["n_inexact"])

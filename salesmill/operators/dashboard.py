@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesmill.functions.dates import window_start, year_month
 from salesmill.functions.numeric import exact_avg, exact_sum, round_money
 from salesmill.operators.clean import as_of_column
-from salesmill.operators.quantile import exact_quantile
+from salesmill.operators.quantile import exact_quantile, quantile_of, value_counts
 from salesmill.operators.stats import table_stats
+from salesmill.plans.staging import stage
 
 
 def _revenue() -> Column:
@@ -22,7 +23,8 @@ def _revenue() -> Column:
 
 
 def _quantity() -> Column:
-    return F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantity")
+    """NULL only where the sum fits no bigint."""
+    return F.when(F.count("quantity") == 0, F.lit(0).cast("long")).otherwise(F.try_sum("quantity")).alias("quantity")
 
 
 def _transactions() -> Column:
@@ -34,9 +36,13 @@ def _by(df: DataFrame, key: str, *measures: Column) -> DataFrame:
 
 
 def _share(groups: DataFrame, measure: str) -> DataFrame:
-    """Add the part each group has in the total of `measure`, in percent."""
-    total = groups.agg(F.sum(F.col(measure).cast("decimal(38,2)")).cast("double").alias("t")).scalar()
-    return groups.withColumn("share_pct", F.col(measure) / total * 100)
+    """Add the part each group has in the total of `measure`, in percent; NULL where the total is zero.
+
+    The total comes from the staged groups, a handful of rows, so the table is read once.
+    """
+    staged = stage(groups, "groups")
+    total = staged.agg(exact_sum(F.col(measure).cast("double")).alias("t")).scalar()
+    return staged.withColumn("share_pct", F.try_divide(F.col(measure).cast("double"), total) * 100)
 
 
 def _ranked(groups: DataFrame, measure: str = "revenue") -> DataFrame:
@@ -51,7 +57,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     """Nulls per column, counted in one pass and turned into rows."""
     counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     rows = counted.unpivot("n_rows", df.columns, "column", "nulls")
-    return rows.select("column", "nulls", (F.col("nulls") / F.col("n_rows") * 100).alias("pct")).orderBy(
+    return rows.select("column", "nulls", (F.try_divide("nulls", "n_rows") * 100).alias("pct")).orderBy(
         F.col("nulls").desc(), "column"
     )
 
@@ -115,15 +121,14 @@ def financial(df: DataFrame) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between the least and the greatest value; empty bins are left out."""
-    values = df.where(F.col(column).isNotNull())
-    lo, hi = values.agg(F.min(column), F.max(column)).first()
+def histogram(counts: DataFrame, bins: int) -> DataFrame:
+    """Equal-width bins between the least and the greatest of `value_counts`; empty bins are left out."""
+    lo, hi = counts.agg(F.min("v"), F.max("v")).first()
     if lo is None:
         lo = hi = 0.0
     width = (hi - lo) / bins or 1.0
-    bin_no = F.least(F.floor((F.col(column) - lo) / width).cast("int"), F.lit(bins - 1))
-    counted = values.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bin_no = F.least(F.floor((F.col("v") - lo) / width).cast("int"), F.lit(bins - 1))
+    counted = counts.groupBy(bin_no.alias("bin")).agg(F.sum("w").alias("n"))
     return counted.select(
         "bin", (F.lit(lo) + F.col("bin") * width).alias("bin_from"), "n"
     ).orderBy("bin")
@@ -134,13 +139,17 @@ def price_p95(df: DataFrame) -> DataFrame:
 
 
 def price_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
-    """Histogram of unit prices; `in_view` marks the bins that start at or below the 95th percentile."""
-    p95 = price_p95(df).first()[0]
-    return histogram(df, "unit_price", bins).withColumn("in_view", F.col("bin_from") <= F.lit(p95))
+    """Histogram of unit prices; `in_view` marks the bins that start at or below the 95th percentile.
+
+    Both come from the staged value counts: the rows are read once.
+    """
+    counts = value_counts(df, "unit_price")
+    p95 = quantile_of(counts, 0.95).first()[0]
+    return histogram(counts, bins).withColumn("in_view", F.col("bin_from") <= F.lit(p95))
 
 
 def discount_histogram(df: DataFrame, bins: int = 30) -> DataFrame:
-    return histogram(df, "discount_pct", bins)
+    return histogram(value_counts(df, "discount_pct"), bins)
 
 
 def price_by_region(df: DataFrame) -> DataFrame:

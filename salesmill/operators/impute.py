@@ -27,6 +27,7 @@ LEVEL_KEYS = {
     2: ["AnioMes", "region", "product_category"],
     3: ["AnioMes", "region"],
 }
+FILLED = ["fill_price", "fill_level"]
 BROADCAST_BYTES = 64 << 20
 # A group with more than one in HOT_SHARE of all missing rows is hot, so fewer than HOT_SHARE groups are.
 HOT_SHARE = 1000
@@ -102,7 +103,7 @@ def fill_table(groups: DataFrame, spec: Imputation = Imputation()) -> DataFrame:
 
 @dataclass(frozen=True)
 class Fills:
-    """Resolved fill values and the measured facts that decide how to join them."""
+    """Resolved, staged fill values and the measured facts that decide how to join them."""
 
     table: DataFrame
     n_missing: int
@@ -110,11 +111,11 @@ class Fills:
 
 
 def prepare_fills(df: DataFrame, spec: Imputation = Imputation()) -> Fills:
-    """Aggregate `df` once, stage the group sums, and measure the table the rows will look up."""
+    """Aggregate `df` once, stage the group sums and the fills they resolve to, and measure the latter."""
     groups = stage(price_groups(df, spec), "price-groups")
-    missing = groups.where("n_missing > 0")
-    size = missing.agg(F.sum("n_missing"), F.sum(row_bytes(missing))).first()
-    return Fills(fill_table(groups, spec), size[0] or 0, size[1] or 0)
+    fills = stage(fill_table(groups, spec), "fills")
+    size = fills.agg(F.sum("n_missing"), F.sum(row_bytes(fills))).first()
+    return Fills(fills, size[0] or 0, size[1] or 0)
 
 
 def _filled(df: DataFrame, spec: Imputation) -> DataFrame:
@@ -129,39 +130,30 @@ def _filled(df: DataFrame, spec: Imputation) -> DataFrame:
 def apply_fills(df: DataFrame, fills: Fills, spec: Imputation = Imputation(), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add `unit_price_imput` and `impute_level` by looking every row's key combination up in `fills`.
 
-    Up to `broadcast_bytes` the fills are broadcast and `df` stays where it is. Beyond that only rows that
-    miss a price are shuffled; hot combinations, of which there are fewer than HOT_SHARE whatever the
-    data, are broadcast first so that no shuffled key holds more than one in HOT_SHARE of them.
+    Up to `broadcast_bytes` the fills are broadcast and `df` stays where it is. Beyond that hot combinations,
+    of which there are fewer than HOT_SHARE whatever the data, are broadcast first, and one shuffle join
+    looks up what is still open. Rows that need nothing from it carry a hash of their own as the key: no key
+    holds more than one in HOT_SHARE of the open rows, and `df` is read once.
     """
     table = fills.table.drop("n_missing")
     if fills.n_bytes <= broadcast_bytes:
         return _filled(_lookup(df, F.broadcast(table), KEYS, KEYS), spec)
     is_hot = F.col("n_missing") * HOT_SHARE > fills.n_missing
-    hot = F.broadcast(fills.table.where(is_hot).drop("n_missing"))
-    cold = fills.table.where(~is_hot).drop("n_missing")
-    missing = df.where(missing_price(df))
-    present = df.where(~missing_price(df)).withColumns(
-        {"fill_price": F.lit(None).cast("double"), "fill_level": F.lit(None).cast("int")}
-    )
-    parts = [
-        present,
-        _lookup(missing, hot, KEYS, KEYS, "inner"),
-        _lookup(_not_hot(missing, hot), cold, KEYS, KEYS),
-    ]
-    joined = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return _filled(joined, spec)
-
-
-def _not_hot(df: DataFrame, hot: DataFrame) -> DataFrame:
-    keys = hot.select(*[F.col(k).alias(f"r_{k}") for k in KEYS])
-    return df.join(F.broadcast(keys), _same_keys(df, keys, KEYS, KEYS), "left_anti")
+    hot = F.broadcast(fills.table.where(is_hot).select(*KEYS, *[F.col(c).alias(f"hot_{c}") for c in FILLED], F.lit(True).alias("is_hot")))
+    cold = fills.table.where(~is_hot).drop("n_missing").withColumn("own", F.lit(0).cast("long"))
+    rows = _lookup(df, hot, KEYS, KEYS)
+    is_open = missing_price(df) & F.col("is_hot").isNull()
+    # xxhash64 with the lowest bit set is never the 0 of the open rows.
+    own = F.when(is_open, F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns).bitwiseOR(F.lit(1).cast("long")))
+    keyed = rows.withColumns({"own": own, **{f"open_{k}": F.when(is_open, F.col(k)) for k in KEYS}})
+    cold = cold.withColumnsRenamed({k: f"r_{k}" for k in [*KEYS, "own"]})
+    on = keyed["own"] == cold["r_own"]
+    for k in KEYS:
+        on = on & keyed[f"open_{k}"].eqNullSafe(cold[f"r_{k}"])
+    joined = keyed.join(cold, on, "left")
+    return _filled(joined.select(*df.columns, *[F.coalesce(f"hot_{c}", c).alias(c) for c in FILLED]), spec)
 
 
 def impute(df: DataFrame, spec: Imputation = Imputation(), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Fill missing prices of `df` from its own group means."""
     return apply_fills(df, prepare_fills(df, spec), spec, broadcast_bytes)
-
-
-def copy_price(df: DataFrame) -> DataFrame:
-    """The placeholder used before any mean is known: the price itself."""
-    return df.withColumn("unit_price_imput", F.col("unit_price"))

@@ -79,6 +79,12 @@ def split_line_rejects(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def split_corrupt(df: DataFrame, column: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows, rows the CSV reader marked), for input read with `keep_corrupt`."""
+    """(well-formed rows, rows the CSV reader marked), for input read with `keep_corrupt`.
+
+    The reason tells a row with too few fields from one with too many; commas inside quotes are no separators.
+    """
     bad = F.col(column).isNotNull()
-    return df.where(~bad).drop(column), df.where(bad).select(*RAW_COLUMNS, column, F.lit("short_row").alias("reason"))
+    n_fields = F.length(F.regexp_replace(F.regexp_replace(column, '"[^"]*"', ""), "[^,]", "")) + 1
+    wanted = len(RAW_COLUMNS)
+    reason = F.when(n_fields < wanted, "short_row").when(n_fields > wanted, "long_row").otherwise("malformed_row")
+    return df.where(~bad).drop(column), df.where(bad).select(*RAW_COLUMNS, column, reason.alias("reason"))

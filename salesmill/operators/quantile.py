@@ -19,12 +19,17 @@ SLICES = 256
 
 def exact_quantile(df: DataFrame, column: str, p: float, name: str = "q", ranked_values: int = RANKED_VALUES) -> DataFrame:
     """One row: quantile `p` of `column`, linearly interpolated between two values; NULL without values."""
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("v"))
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
-    counts = stage(counts, "value-counts")
+    return quantile_of(value_counts(df, column), p, name, ranked_values)
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Staged: every value `v` of `column` but NULL, and the number `w` of rows that hold it."""
+    given = df.where(F.col(column).isNotNull())
+    return stage(given.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("w")), "value-counts")
+
+
+def quantile_of(counts: DataFrame, p: float, name: str = "q", ranked_values: int = RANKED_VALUES) -> DataFrame:
+    """`exact_quantile` over staged `value_counts`."""
     n = counts.agg(F.sum("w")).first()[0] or 0
     rank = p * max(n - 1, 0)
     near, below = _narrow(counts, rank, ranked_values)

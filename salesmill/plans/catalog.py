@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmill.functions import dates, numeric, rules
@@ -16,7 +17,7 @@ from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS
 from salesmill.functions.text import clean_text, strip
 from salesmill.operators import dashboard, quality
 from salesmill.operators.clean import clean, finish
-from salesmill.operators.impute import global_mean, level_means, prepare_fills, price_groups, impute
+from salesmill.operators.impute import BROADCAST_BYTES, global_mean, level_means, prepare_fills, price_groups, impute
 from salesmill.operators.sampling import sample_rows
 from salesmill.operators.stats import table_stats
 from salesmill.plans.jobs import build_datamart
@@ -45,12 +46,25 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_raw(tune(spark), sf_dir)
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def landed(spark: SparkSession, sf_dir: str, columns: list[str] = RAW_COLUMNS) -> DataFrame:
     """The extract as files, like the one the jobs are made for, with only the columns a query needs.
 
-    Without this, filters on cleaned columns would be pushed into the expressions that derive the dirt.
+    Landed once per application and folder; every query does its own work on it. Without this, filters on cleaned
+    columns would be pushed into the expressions that derive the dirt.
     """
-    return stage(raw(spark, sf_dir).select(*columns), "landed")
+    tune(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _LANDED:
+        try:
+            return spark.read.parquet(_LANDED[key]).select(*columns)
+        except AnalysisException:  # the shared folder has been cleared since
+            pass
+    _LANDED[key] = new_path(spark, "landed")
+    raw(spark, sf_dir).write.parquet(_LANDED[key])
+    return spark.read.parquet(_LANDED[key]).select(*columns)
 
 
 def cleaned(spark: SparkSession, sf_dir: str, profile: str = "datamart", columns: list[str] = RAW_COLUMNS) -> DataFrame:
@@ -124,8 +138,8 @@ def category(profile: str, column: str, spark, sf_dir) -> DataFrame:
 # -- imputation -----------------------------------------------------------------------------------------------
 
 
-def imputed(profile: str, spark, sf_dir) -> DataFrame:
-    filled = impute(cleaned(spark, sf_dir, profile, PRICE_COLUMNS), PROFILES[profile].imputation)
+def imputed(profile: str, spark, sf_dir, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    filled = impute(cleaned(spark, sf_dir, profile, PRICE_COLUMNS), PROFILES[profile].imputation, broadcast_bytes)
     return filled.select("transaction_id", *_KEYS, "unit_price", "unit_price_imput", "impute_level")
 
 
@@ -152,9 +166,9 @@ def price_means(level: int, spark, sf_dir) -> DataFrame:
 # -- files, sinks, streams --------------------------------------------------------------------------------------
 
 
-def _csv_copy(spark, sf_dir, count: int | None = None, compression: str = "none") -> str:
+def _csv_copy(spark, sf_dir, compression: str = "none") -> str:
     path = new_path(spark, "csv")
-    tables.write_csv(raw(spark, sf_dir), path, count, compression)
+    tables.write_csv(landed(spark, sf_dir), path, compression=compression)
     return path
 
 
@@ -176,10 +190,13 @@ def csv_jagged(spark, sf_dir) -> DataFrame:
 
 
 def csv_corrupt(spark, sf_dir) -> DataFrame:
-    """The same kind of lines, split into usable and marked rows, counted."""
+    """The same kinds of lines, split into usable and marked rows, counted."""
     cells = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
-    short = F.col("customer_segment").isNull()
-    line = F.when(short, F.concat_ws(",", *cells[:-2])).otherwise(F.concat_ws(",", *cells))
+    line = (
+        F.when(F.col("customer_segment").isNull(), F.concat_ws(",", *cells[:-2]))
+        .when(F.col("status").isNull(), F.concat_ws(",", *cells, F.lit("extra")))
+        .otherwise(F.concat_ws(",", *cells))
+    )
     path = new_path(spark, "corrupt")
     raw(spark, sf_dir).select(line.alias("value")).write.text(path)
     good, bad = quality.split_corrupt(files.read_csv(spark, path, keep_corrupt=True, header=False))
@@ -196,7 +213,7 @@ def external_view(spark, sf_dir) -> DataFrame:
 
 
 def bronze(spark, sf_dir) -> DataFrame:
-    return files.land_bronze(spark, _csv_copy(spark, sf_dir, 2, "gzip"), new_path(spark, "bronze"))
+    return files.land_bronze(spark, _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "bronze"))
 
 
 def lines_parse(spark, sf_dir) -> DataFrame:
@@ -251,9 +268,11 @@ def dual_write(spark, sf_dir) -> DataFrame:
 
 
 def table_replace(spark, sf_dir) -> DataFrame:
+    """An earlier, smaller version replaced by the whole."""
     rows = datamart(spark, sf_dir, ["region", "quantity"]).select("transaction_id", "date", "region", "quantity")
     path = new_path(spark, "table")
     name = "salesmill_" + path.rsplit("-", 1)[1]
+    tables.create_or_replace_table(rows.where(F.year("date") < 1999), name, path)
     return tables.create_or_replace_table(rows, name, path)
 
 
@@ -275,13 +294,13 @@ def text_sink(spark, sf_dir) -> DataFrame:
 
 
 def stream_append(spark, sf_dir) -> DataFrame:
-    source, target = _csv_copy(spark, sf_dir, 2, "gzip"), new_path(spark, "stream")
+    source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
     stream_clean(spark, source, target, new_path(spark, "stream-state"), "microbatch", AS_OF).awaitTermination()
     return spark.read.schema(CLEAN_SCHEMA).parquet(target)
 
 
 def stream_filled(spark, sf_dir) -> DataFrame:
-    source, target = _csv_copy(spark, sf_dir, 2, "gzip"), new_path(spark, "stream")
+    source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
     p = PROFILES["datamart"]
     fills = prepare_fills(clean(files.read_csv(spark, source), p, AS_OF), p.imputation)
     rows = clean(files.stream_csv(spark, source), p, AS_OF)
@@ -291,7 +310,7 @@ def stream_filled(spark, sf_dir) -> DataFrame:
 
 def stream_windows(spark, sf_dir) -> DataFrame:
     """Event-time totals, the latest complete result kept."""
-    source, target = _csv_copy(spark, sf_dir, 2, "gzip"), new_path(spark, "stream")
+    source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
     windows = monthly_windows(clean(files.stream_csv(spark, source), "datamart", AS_OF))
     keep = lambda batch, epoch: batch.write.mode("overwrite").parquet(target)
     (
@@ -360,6 +379,7 @@ def _queries() -> dict[str, Query]:
     q |= {
         "impute_levels": impute_levels,
         "impute_datamart": partial(imputed, "datamart"),
+        "impute_shuffled": partial(imputed, "datamart", broadcast_bytes=0),
         "impute_nulls_only": partial(imputed, "external"),
         "impute_chunked": partial(imputed, "chunked"),
         "impute_one_level": impute_one_level,

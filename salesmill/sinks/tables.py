@@ -1,8 +1,13 @@
-"""Sinks. Every load is one atomic Spark write; nothing is sliced into batches."""
+"""Sinks. Every load is one Spark write; nothing is sliced into batches.
+
+Replacing a table is safe: the new rows are complete before the table points to them. Overwriting a bare path is
+not, since Spark deletes the old files first; write to a new path, or through a table, where readers must not notice.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from salesmill.schemas import CLEAN_SCHEMA, conform
@@ -23,21 +28,35 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = CLEAN_
         out.write.mode(mode).parquet(path)
 
 
-def create_or_replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Materialize a query as a catalog table, replacing an earlier one."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
-    return df.sparkSession.table(table)
+def create_or_replace_table(df: DataFrame, table: str, path: str) -> DataFrame:
+    """Materialize a query as a catalog table over a new folder below `path`, replacing an earlier one.
+
+    The rows are written first: if that fails, the old table stays as it is. A table with the same columns is then
+    switched in one step; one with other columns is created anew. The folder of the old version is left to readers
+    that still use it.
+    """
+    spark = df.sparkSession
+    folder = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    columns = [(f.name, f.dataType) for f in df.schema]
+    if spark.catalog.tableExists(table):
+        if [(f.name, f.dataType) for f in spark.table(table).schema] == columns:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+    return spark.table(table)
 
 
 def write_both(df: DataFrame, paths: list[str], schema: T.StructType | None = CLEAN_SCHEMA) -> None:
-    """The same rows to several targets, computed once."""
-    out = (conform(df, schema) if schema else df).persist(StorageLevel.DISK_ONLY)
-    try:
-        for path in paths:
-            out.write.mode("overwrite").parquet(path)
-    finally:
-        out.unpersist()
+    """The same rows to several targets, computed once: the others are copied from the first."""
+    first, *others = paths
+    out = conform(df, schema) if schema else df
+    out.write.mode("overwrite").parquet(first)
+    copy = df.sparkSession.read.schema(out.schema).parquet(first)
+    for path in others:
+        copy.write.mode("overwrite").parquet(path)
 
 
 def append_evolving(df: DataFrame, path: str) -> None:

@@ -13,7 +13,7 @@ from salesmill.sources.files import stream_csv
 
 
 def stream_clean(spark: SparkSession, source: str, target: str, checkpoint: str, profile: str | Profile = "microbatch",
-                 as_of=None, files_per_trigger: int = 1) -> StreamingQuery:
+                 as_of=None, files_per_trigger: int | None = None) -> StreamingQuery:
     """Clean the files that have arrived and append them to `target`.
 
     The checkpoint remembers what was read, so a restart goes on from there without repeating rows.
