@@ -18,6 +18,7 @@ import base64
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -283,18 +284,28 @@ class Utf8Stream:
         return data[:cut].decode("utf-8", "replace")
 
 
+#: Bounds of what a worker remembers; they change its speed and memory, never the ids.
+MAX_STATES, MEMO_MATCHES, MEMO_PIECES = 100_000, 60_000, 80_000
+
+
 class Codec:
     """Text to ids and back with a vocabulary of ranks and a pretoken pattern."""
 
     def __init__(self, path: str, pattern: str):
-        ranks = read_ranks(path)
-        self.machine = Transducer(ranks)
-        self.bytes_of = self.machine.bytes_of
-        find = regex.compile(pattern).findall
+        self.pattern, self.ranks = pattern, read_ranks(path)
+        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+
+    @cached_property
+    def machine(self) -> Transducer:
+        return Transducer(self.ranks, MAX_STATES)
+
+    @cached_property
+    def pieces(self) -> Pieces:
+        """Ids of texts by their pieces; made on first use, since a worker that only decodes needs no transducer."""
+        find = regex.compile(self.pattern).findall
         encode = self.machine.encode
-        self.matches = Recent(lambda match: array("i", encode(match.encode())).tobytes(), 150_000)
-        of_match = self.matches.__getitem__
-        self.pieces = Pieces(lambda piece: b"".join(map(of_match, find(piece))), memo=200_000)
+        of_match = Recent(lambda match: array("i", encode(match.encode())).tobytes(), MEMO_MATCHES).__getitem__
+        return Pieces(lambda piece: b"".join(map(of_match, find(piece))), memo=MEMO_PIECES)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.pieces(text)), np.int32)
