@@ -446,4 +446,16 @@ def oracles() -> dict[str, str]:
     o["quality_figures"] = quality_figures()
     o["rejects"] = over(f"r AS (SELECT *, {reject_reason()} AS reason FROM raw)", "SELECT * FROM r WHERE reason IS NOT NULL")
     o["schema_report"] = schema_report()
+    size = "SELECT least({n}, " + COUNT + ") AS n_rows, least({n}, " + COUNT + ") AS n_distinct, least({n}, " + COUNT + ") AS n_members FROM mart"
+    o["sample_n_facts"] = mart(size.format(n=10_000))
+    o["dashboard_sample"] = mart(size.format(n=100_000) + f" WHERE date >= {AS_OF} - INTERVAL 60 DAY")
+    o["job_stats"] = over(clean("datamart"), f"SELECT s.*, target FROM (SELECT {STATS['pipeline']} FROM clean) s, (VALUES (0), (1)) t(target)")
+    o["lines_file"] = o["lines_parse"]
+    o["line_reject_rows"] = over("", f"SELECT {cut} AS value, CASE WHEN customer_segment IS NULL THEN 'short_row' ELSE 'ok' END AS reason FROM raw")
+    whole = "customer_segment IS NOT NULL AND status IS NOT NULL"
+    o["stream_rejects"] = over(
+        "",
+        f"SELECT {jagged()}, CASE WHEN customer_segment IS NULL THEN 'short_row' ELSE 'long_row' END AS reason, "
+        f"(SELECT {COUNT} FROM raw WHERE {whole}) AS n_clean FROM raw WHERE NOT ({whole})",
+    )
     return o

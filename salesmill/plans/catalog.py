@@ -20,7 +20,7 @@ from salesmill.operators.clean import clean, finish
 from salesmill.operators.impute import BROADCAST_BYTES, global_mean, level_means, prepare_fills, price_groups, impute
 from salesmill.operators.sampling import sample_rows
 from salesmill.operators.stats import table_stats
-from salesmill.plans.jobs import build_datamart
+from salesmill.plans.jobs import build_datamart, run_job
 from salesmill.plans.profiles import PROFILES, prepare
 from salesmill.plans.session import tune
 from salesmill.plans.staging import new_path, stage
@@ -28,7 +28,7 @@ from salesmill.schemas import CLEAN_SCHEMA, RAW_COLUMNS
 from salesmill.sinks import tables
 from salesmill.sources import files, lines
 from salesmill.sources.star_schema import transactions_raw
-from salesmill.streaming.jobs import monthly_windows, stream_clean, stream_impute
+from salesmill.streaming.jobs import latest_totals, monthly_windows, stream_clean, stream_impute, stream_split, stream_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,7 +176,7 @@ def csv_roundtrip(spark, sf_dir) -> DataFrame:
     return files.read_csv(spark, _csv_copy(spark, sf_dir))
 
 
-def csv_jagged(spark, sf_dir) -> DataFrame:
+def _jagged_lines(rows: DataFrame) -> DataFrame:
     """Lines that end two fields early (rows without segment) or bring one too many (rows without status)."""
     cells = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
     line = (
@@ -184,21 +184,19 @@ def csv_jagged(spark, sf_dir) -> DataFrame:
         .when(F.col("status").isNull(), F.concat_ws(",", *cells, F.lit("extra")))
         .otherwise(F.concat_ws(",", *cells))
     )
+    return rows.select(line.alias("value"))
+
+
+def csv_jagged(spark, sf_dir) -> DataFrame:
     path = new_path(spark, "jagged")
-    raw(spark, sf_dir).select(line.alias("value")).write.text(path)
+    _jagged_lines(raw(spark, sf_dir)).write.text(path)
     return files.read_csv(spark, path, header=False)
 
 
 def csv_corrupt(spark, sf_dir) -> DataFrame:
     """The same kinds of lines, split into usable and marked rows, counted."""
-    cells = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
-    line = (
-        F.when(F.col("customer_segment").isNull(), F.concat_ws(",", *cells[:-2]))
-        .when(F.col("status").isNull(), F.concat_ws(",", *cells, F.lit("extra")))
-        .otherwise(F.concat_ws(",", *cells))
-    )
     path = new_path(spark, "corrupt")
-    raw(spark, sf_dir).select(line.alias("value")).write.text(path)
+    _jagged_lines(raw(spark, sf_dir)).write.text(path)
     good, bad = quality.split_corrupt(files.read_csv(spark, path, keep_corrupt=True, header=False))
     marked = good.select("product_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("product_id", "reason"))
     return marked.groupBy("product_id", "reason").agg(F.count(F.lit(1)).alias("n"))
@@ -220,17 +218,29 @@ def lines_parse(spark, sf_dir) -> DataFrame:
     return lines.parse_lines(lines.to_lines(raw(spark, sf_dir)))
 
 
+def lines_file(spark, sf_dir) -> DataFrame:
+    """The lines written as text files, one of them a header, and read back."""
+    path = new_path(spark, "lines-file")
+    lines.to_lines(raw(spark, sf_dir)).write.text(path)
+    spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string").write.mode("append").text(path)
+    return lines.parse_lines(lines.read_lines(spark, path))
+
+
 def lines_text(spark, sf_dir) -> DataFrame:
     return lines.clean_lines(lines.to_lines(raw(spark, sf_dir)))
 
 
-def line_rejects(spark, sf_dir) -> DataFrame:
-    """Lines cut short where the segment is missing; how many of each length are usable."""
+def line_reject_rows(spark, sf_dir) -> DataFrame:
+    """Lines cut short where the segment is missing, and whether they are usable."""
     cells = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
     line = F.when(F.col("customer_segment").isNull(), F.concat_ws(",", *cells[:15])).otherwise(F.concat_ws(",", *cells))
     good, bad = quality.split_line_rejects(raw(spark, sf_dir).select(line.alias("value")))
-    marked = good.withColumn("reason", F.lit("ok")).unionByName(bad)
-    return marked.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
+    return good.withColumn("reason", F.lit("ok")).unionByName(bad)
+
+
+def line_rejects(spark, sf_dir) -> DataFrame:
+    """How many of these lines are usable."""
+    return line_reject_rows(spark, sf_dir).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
 
 
 def schema_evolution(spark, sf_dir) -> DataFrame:
@@ -309,15 +319,29 @@ def stream_filled(spark, sf_dir) -> DataFrame:
 
 
 def stream_windows(spark, sf_dir) -> DataFrame:
-    """Event-time totals, the latest complete result kept."""
+    """Event-time totals, the last state of each window kept."""
     source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
     windows = monthly_windows(clean(files.stream_csv(spark, source), "datamart", AS_OF))
-    keep = lambda batch, epoch: batch.write.mode("overwrite").parquet(target)
-    (
-        windows.writeStream.foreachBatch(keep).outputMode("complete")
-        .option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).start()
-    ).awaitTermination()
-    return spark.read.parquet(target)
+    stream_totals(windows, target, new_path(spark, "stream-state")).awaitTermination()
+    return latest_totals(spark, target)
+
+
+def stream_rejects(spark, sf_dir) -> DataFrame:
+    """Lines with a wrong field count that a cleaning stream set aside; the others it cleaned, counted."""
+    source, target, rejects = new_path(spark, "jagged"), new_path(spark, "stream"), new_path(spark, "rejects")
+    _jagged_lines(landed(spark, sf_dir)).write.text(source)
+    stream_split(spark, source, target, rejects, new_path(spark, "stream-state"), "microbatch", AS_OF, header=False).awaitTermination()
+    cleaned_rows = spark.read.schema(CLEAN_SCHEMA).parquet(target + "/batch=*").agg(F.count(F.lit(1)).alias("n_clean"))
+    bad = spark.read.parquet(rejects).select(*RAW_COLUMNS, "reason")
+    return bad.join(F.broadcast(cleaned_rows))  # one row
+
+
+def job_stats(spark, sf_dir) -> DataFrame:
+    """The whole job from compressed files to two targets: its report, and the same of the second target."""
+    targets = [new_path(spark, "main"), new_path(spark, "mart")]
+    first = run_job(spark, _csv_copy(spark, sf_dir, "gzip"), targets, "datamart", AS_OF)
+    second = table_stats(files.read_table(spark, targets[1], CLEAN_SCHEMA), "pipeline")
+    return first.withColumn("target", F.lit(0)).unionByName(second.withColumn("target", F.lit(1)))
 
 
 # -- quality, samples -------------------------------------------------------------------------------------------
@@ -346,6 +370,26 @@ def sample_n(spark, sf_dir) -> DataFrame:
     return sample_rows(stage(datamart(spark, sf_dir), "datamart"), 10_000)
 
 
+def sample_facts(rows: DataFrame, n: int) -> DataFrame:
+    """What must hold of any random sample of `n` rows: its size, its distinct rows, and those found in the table."""
+    numbered = stage(rows.select("transaction_id", "date", F.monotonically_increasing_id().alias("row_no")), "numbered")
+    sample = stage(sample_rows(numbered, n), "sample")
+    known = sample.join(numbered.select("row_no", F.col("transaction_id").alias("known_id")), "row_no", "left")
+    return known.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_no").alias("n_distinct"),
+        F.count_if(F.col("known_id") == F.col("transaction_id")).alias("n_members"),
+    )
+
+
+def sample_n_facts(spark, sf_dir) -> DataFrame:
+    return sample_facts(datamart(spark, sf_dir), 10_000)
+
+
+def dashboard_sample(spark, sf_dir) -> DataFrame:
+    """The dashboard's own load: the last 60 days, and of these at most 100,000 random rows."""
+    return sample_facts(dashboard.recent(datamart(spark, sf_dir), AS_OF), 100_000)
+
+
 def over_datamart(report: Callable[[DataFrame], DataFrame], columns: list[str], spark, sf_dir) -> DataFrame:
     return report(datamart(spark, sf_dir, columns))
 
@@ -410,6 +454,12 @@ def _queries() -> dict[str, Query]:
         "eda_price_p95": partial(over_datamart, dashboard.price_p95, ["unit_price"]),
         "recent_window": recent_window,
         "sample_n": sample_n,
+        "sample_n_facts": sample_n_facts,
+        "dashboard_sample": dashboard_sample,
+        "job_stats": job_stats,
+        "lines_file": lines_file,
+        "line_reject_rows": line_reject_rows,
+        "stream_rejects": stream_rejects,
         "csv_roundtrip": csv_roundtrip,
         "csv_jagged": csv_jagged,
         "csv_corrupt": csv_corrupt,

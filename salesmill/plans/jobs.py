@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from salesmill.operators.clean import clean, finish
 from salesmill.operators.impute import impute
+from salesmill.operators.stats import table_stats
 from salesmill.plans.profiles import Profile, get_profile
-from salesmill.plans.staging import stage
+from salesmill.plans.staging import new_path, stage
+from salesmill.schemas import CLEAN_SCHEMA
+from salesmill.sinks.tables import write_both
+from salesmill.sources.files import land_bronze, read_table
 
 
 def build_datamart(raw: DataFrame, profile: str | Profile = "datamart", as_of=None, stage_clean: bool = False) -> DataFrame:
@@ -23,3 +27,15 @@ def build_datamart(raw: DataFrame, profile: str | Profile = "datamart", as_of=No
     if stage_clean:
         rows = stage(rows, f"clean-{p.name}")
     return finish(impute(rows, p.imputation), p)
+
+
+def run_job(spark: SparkSession, source, targets: list[str], profile: str | Profile = "datamart", as_of=None,
+            bronze: str | None = None, quoted_newlines: bool = False, stats: str = "pipeline") -> DataFrame:
+    """The whole job: land the CSV files of `source`, clean and impute, load every target, report on the first.
+
+    The landed extract goes to `bronze`, or to the shared folder without it. Returns the one-row statistics of the
+    loaded table, taken from what was written.
+    """
+    raw = land_bronze(spark, source, bronze or new_path(spark, "bronze"), quoted_newlines)
+    write_both(build_datamart(raw, profile, as_of), targets)
+    return table_stats(read_table(spark, targets[0], CLEAN_SCHEMA), stats)

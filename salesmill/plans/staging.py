@@ -19,7 +19,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.startswith("local["):
         return _local_root()
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 

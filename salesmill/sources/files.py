@@ -61,9 +61,9 @@ def read_table(spark: SparkSession, name_or_path: str, schema: T.StructType | No
     return (reader.schema(schema) if schema else reader).parquet(name_or_path)
 
 
-def stream_csv(spark: SparkSession, path: str, files_per_trigger: int | None = None, keep_corrupt: bool = False) -> DataFrame:
+def stream_csv(spark: SparkSession, path: str, files_per_trigger: int | None = None, keep_corrupt: bool = False, header: bool = True) -> DataFrame:
     """The same extract as a stream of files; a micro-batch takes all files there are unless told otherwise."""
-    reader = spark.readStream.schema(csv_schema(keep_corrupt)).options(**CSV_OPTIONS).options(columnPruning=not keep_corrupt)
+    reader = spark.readStream.schema(csv_schema(keep_corrupt)).options(**CSV_OPTIONS).options(header=header, columnPruning=not keep_corrupt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.csv(path)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from salesmill.functions.numeric import exact_sum
 from salesmill.operators.clean import clean, finish
 from salesmill.operators.impute import Fills, apply_fills
+from salesmill.operators.quality import split_corrupt
 from salesmill.plans.profiles import Profile, get_profile
 from salesmill.sources.files import stream_csv
 
@@ -28,6 +29,27 @@ def stream_clean(spark: SparkSession, source: str, target: str, checkpoint: str,
     )
 
 
+def stream_split(spark: SparkSession, source: str, target: str, rejects: str, checkpoint: str, profile: str | Profile = "microbatch",
+                 as_of=None, files_per_trigger: int | None = None, header: bool = True) -> StreamingQuery:
+    """Like `stream_clean`, but rows with a wrong field count go to `rejects` with their text and reason.
+
+    A bad row never stops the stream. Each micro-batch is written to a folder of its own under both targets, so a
+    repeated batch replaces itself.
+    """
+    p = get_profile(profile)
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        good, bad = split_corrupt(batch)
+        finish(clean(good, p, as_of), p).write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
+
+    rows = stream_csv(spark, source, files_per_trigger, keep_corrupt=True, header=header)
+    return (
+        rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def stream_impute(rows: DataFrame, fills: Fills, target: str, checkpoint: str, profile: str | Profile = "datamart") -> StreamingQuery:
     """Fill the prices of a stream of cleaned rows from the means of an earlier batch.
 
@@ -56,3 +78,23 @@ def monthly_windows(rows: DataFrame, late: str = "7 days", length: str = "30 day
     return windows.agg(
         exact_sum(F.col("total_amount")).alias("revenue"), F.count(F.lit(1)).alias("transactions")
     ).select(F.col("window.start").alias("window_start"), "revenue", "transactions")
+
+
+def stream_totals(windows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write the windows that each micro-batch changed to a folder of its own; `latest_totals` reads them back.
+
+    Update mode: the watermark drops rows later than it allows and closes the state of windows it has passed. A
+    repeated batch replaces itself.
+    """
+    keep = lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+    return (
+        windows.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def latest_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The last state of each window that `stream_totals` wrote."""
+    written = spark.read.parquet(target)
+    last = written.groupBy("window_start").agg(F.max_by(F.struct("revenue", "transactions"), "batch").alias("last"))
+    return last.select("window_start", "last.*")
