@@ -3,7 +3,8 @@
 Every text is measured whole; rules on the measures give failures per document. Failures are summed per host (combined
 map-side, so a host with a third of all rows costs one partial row per task), each host's failure rate of each rule is
 shrunk towards a beta prior fitted to all hosts, and a host with a shrunk rate above `max_rate` is rejected. The few
-rejected hosts are joined back to the measures, never to the texts.
+rejected hosts are joined back to the measures, never to the texts; each is dealt to `SALTS` tasks, so that a host with a
+third of all rows (or the rows without a host) does not land in one.
 
 Null text has no words and fails; a row with a null host has only its own verdict; an empty table gives no rows; equal
 rows get equal results; columns other than id, text and host are ignored.
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, map_batches, staged, texts
 
+#: Tasks over which the rows of one host are dealt when verdicts are joined back.
+SALTS = 32
+
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 SCHEMA = "doc_id long, host string, " + ", ".join(f"{name} long" for name in MEASURES)
@@ -128,9 +132,11 @@ def verdicts(
 def judged(found: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """`found` (a table with host and the measures, read twice) with base_failed, host_rejected and kept."""
     bad = host_rates(found, limits).where(F.col("shrunk") > limits.max_rate).select("host", F.lit(True).alias("bad")).distinct()
+    bad = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*found.columns), F.lit(SALTS)).cast("int")
     rule = rules(limits)
     return (
-        found.join(bad, "host", "left")
+        found.withColumn("_salt", salt).join(bad, ["host", "_salt"], "left").drop("_salt")
         .withColumn("base_failed", rule["short"] | rule["repetitive"])
         .withColumn("host_rejected", F.coalesce("bad", F.lit(False)))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
