@@ -15,7 +15,7 @@ from salesmill.plans.staging import new_path
 from salesmill.schemas import CLEAN_SCHEMA, LINES_SCHEMA, RAW_COLUMNS, conform
 from salesmill.sinks import tables
 from salesmill.sources import files, lines
-from salesmill.streaming.jobs import stream_clean
+from salesmill.streaming.jobs import latest_totals, monthly_windows, stream_clean, stream_split, stream_totals
 
 AS_OF = "2001-08-01"
 
@@ -137,6 +137,29 @@ def test_stream_equals_batch_and_restarts(spark, raw):
     same_rows(got, finish(clean(files.read_csv(spark, source), "microbatch", AS_OF), "microbatch"))
 
 
+def test_stream_sets_bad_rows_aside_and_goes_on(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    target, rejects, state = (new_path(spark, x) for x in ("out", "rejects", "state"))
+    full = ",".join(f"v{i}" for i in range(21))
+    for n, (name, bad) in enumerate([("a", "a,b"), ("b", f"{full},more")], start=1):
+        (source / f"{name}.csv").write_text(",".join(RAW_COLUMNS) + f"\n{full}\n{bad}\n")
+        stream_split(spark, str(source), target, rejects, state, "microbatch", AS_OF).awaitTermination()
+        assert spark.read.parquet(target).count() == n
+    assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == ["long_row", "short_row"]
+
+
+def test_window_totals_take_the_last_state(spark, tmp_path):
+    source, target, state = tmp_path / "in", new_path(spark, "out"), new_path(spark, "state")
+    source.mkdir()
+    schema = "timestamp timestamp_ntz, total_amount double"
+    for name, day in [("a", "2001-01-05"), ("b", "2001-01-06")]:
+        (source / f"{name}.json").write_text('{"timestamp": "%s 00:00:00", "total_amount": 2.5}\n' % day)
+        windows = monthly_windows(spark.readStream.schema(schema).json(str(source)))
+        stream_totals(windows, target, state).awaitTermination()
+    assert [(r.revenue, r.transactions) for r in latest_totals(spark, target).collect()] == [(5.0, 2)]
+
+
 def test_quality(raw):
     built = build_datamart(raw, "datamart", AS_OF)
     figures = quality.quality_figures(raw, built).first()
