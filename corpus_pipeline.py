@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm import byte_bpe, line_dedup, mixing, quality_rules, simhash_dedup
+from salesmill.llm import byte_bpe, line_dedup, mixing, quality_rules
+from salesmill.llm import near_duplicates as similar
 from salesmill.llm.common import map_batches, new_folder, staged, table, texts
 
 
@@ -64,9 +65,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the row with the least id stays (of equal ids, the least text hash; of equal rows, one)."""
-    classes = simhash_dedup.classes_of(docs.select(*_row(), "text"), ["_id", "_hash"], "_id")
-    first = classes.groupBy("component_id", "component").agg(F.min(F.struct("_id", "_hash")).alias("k")).select("k.*")
+    """Of each group linked by 5-word-shingle Jaccard >= 0.8 the row with the least id stays (of equal ids, the least text hash; of equal rows, one)."""
+    classes = similar.classes_of(docs.select(*_row(), "text"), ["_id", "_hash"])
+    first = classes.groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("k")).select("k.*")
     return _only(docs, first).dropDuplicates(["doc_id", "text"])
 
 

@@ -76,6 +76,12 @@ def test_run(spark, folder):
     assert set(range(1, 120)) <= left and not left & {*range(201, 230), *range(500, 510), 600, 601, 602}
 
 
+def test_edited_copies_go(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    left = corpus_pipeline.near_duplicates(spark, docs, folder)
+    assert not {x.doc_id for x in left.collect()} & {*range(300, 330)}
+
+
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
