@@ -72,13 +72,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose fitted rate rounds to none go; the others stay once.
+    """Documents that are most likely clean stay once, those most likely toxic go, whatever their share of the words.
 
-    The clean domain keeps its total and toxic text is brought to one percent, so clean documents have rates near one.
+    The others have fitted rates, scaled so that the expected low-quality words have their weight beside the clean ones.
+    A rate of 2.3 gives two copies, and a third one where the hash of id and text says so; a rate of 0.3 none or one.
     """
-    rated, _ = mixing.mixed(docs, table(spark, sf_dir, "labels"))
-    stay = rated.where((F.col("rate") >= 0.5) | (F.col("n_tokens") == 0))
-    return _only(docs, stay.select(F.coalesce("doc_id", F.lit(line_dedup.NO_ID)).alias("_id"), F.col("row").alias("_hash")))
+    clean, low = mixing.WEIGHTS[:2]
+    model = mixing.fit_classifier(docs, table(spark, sf_dir, "labels"), mixing.domain_of())
+    rows = staged(mixing.posteriors(docs, model))
+    p = [F.col("p")[k] for k in range(3)]
+    kind = F.when(p[2] >= F.greatest(p[0], p[1]), 2).when(p[0] >= p[1], 0).otherwise(1)
+    free = rows.where((kind != 2) | (F.col("n_tokens") == 0))
+
+    def targets(totals):
+        return [totals[0], totals[0] * low / clean, totals[2]]
+
+    rated = mixing.with_rates(free, mixing.fit_rates(free, targets)).withColumn("clean", (kind == 0) | (F.col("n_tokens") == 0))
+    excess = F.col("n_tokens") * (p[1] * clean - p[0] * low)  # zero in sum where the weights are met
+    fixed, flat, fitted = rated.agg(
+        F.sum(F.when(F.col("clean"), excess)), F.sum(F.when(~F.col("clean"), excess)), F.sum(F.when(~F.col("clean"), excess * F.col("rate")))
+    ).first()
+    rate = F.col("rate")
+    if not fitted or fitted <= 0:  # the fit leaves nothing of the low-quality documents: all get one rate
+        rate, fitted = F.lit(1.0), flat
+    scale = max(0.0, -(fixed or 0.0) / fitted) if fitted and fitted > 0 else 0.0
+    rate = F.when(F.col("clean"), 1.0).otherwise(rate * scale)
+    chance = F.shiftrightunsigned(F.xxhash64("doc_id", "row", F.lit("mixing")), 11) / F.lit(float(1 << 53))
+    copies = (F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")).alias("_copies")
+    kept = rated.select(F.coalesce("doc_id", F.lit(line_dedup.NO_ID)).alias("_id"), F.col("row").alias("_hash"), copies).where("_copies > 0")
+    keys = kept.distinct().hint("shuffle_hash")
+    # The copies of a row are made where it is read: as many as its rate, whose words together are at most the target.
+    marked = docs.select("*", *_row()).join(keys, ["_id", "_hash"])
+    return marked.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,8 @@ from .common import Recent, long_list, map_batches, staged, texts
 
 #: Domains of the labels table, from its marks.
 DOMAINS = ("clean", "low", "toxic")
+#: Their target weights.
+WEIGHTS = (0.85, 0.14, 0.01)
 
 
 def domain_of(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -261,7 +263,7 @@ def weighted_targets(weights: np.ndarray, keep: int = 0):
     return lambda totals: share / share[keep] * totals[keep]
 
 
-def mixed(docs: DataFrame, labels: DataFrame, weights=(0.85, 0.14, 0.01), max_labelled: int = 20_000) -> tuple[DataFrame, Fit]:
+def mixed(docs: DataFrame, labels: DataFrame, weights=WEIGHTS, max_labelled: int = 20_000) -> tuple[DataFrame, Fit]:
     """doc_id, row, n_tokens, p, rate for every row of `docs`, and the fit."""
     model = fit_classifier(docs, labels, domain_of(), max_labelled=max_labelled)
     rows = staged(posteriors(docs, model))

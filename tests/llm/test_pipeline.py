@@ -82,6 +82,26 @@ def test_edited_copies_go(spark, folder):
     assert not {x.doc_id for x in left.collect()} & {*range(300, 330)}
 
 
+@pytest.mark.parametrize("toxic, low", [(0.005, 0.5), (0.02, 0.05), (0.2, 0.25)])
+def test_mixing_keeps_clean_drops_toxic_meets_weights(spark, tmp_path, toxic, low):
+    r = random.Random(3)
+    kinds = ["river mountain forest valley", "click here buy now", "vile nasty awful hateful"]
+    share = [1 - toxic - low, low, toxic]
+    rows = []
+    for kind in range(3):
+        for _ in range(round(2000 * share[kind])):
+            rows.append((len(rows), " ".join(r.choice([*kinds[kind].split(), "the", "of"]) for _ in range(60)), kind))
+    spark.createDataFrame([(i, int(k == 0), int(k == 2)) for i, _, k in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t, _ in rows], DOCS)
+    kept = [x.doc_id for x in corpus_pipeline.mixture(spark, docs, str(tmp_path)).collect()]
+    kind = {i: k for i, _, k in rows}
+    count = [sum(kind[i] == k for i in kept) for k in range(3)]
+    clean = [i for i in kept if kind[i] == 0]
+    assert sorted(clean) == [i for i, _, k in rows if k == 0] and count[2] == 0
+    want = count[0] * 0.14 / 0.85
+    assert abs(count[1] - want) <= 0.1 * want
+
+
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
