@@ -125,3 +125,46 @@ WITH base AS (
 SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM base LEFT JOIN kept USING (doc_id)
 """
+
+
+def _rounds(k: int, rounds: int, dims: int) -> str:
+    """Integer k-means, one group of steps per round, over vectors spread to one row per component."""
+
+    def assigned(r: int) -> str:
+        return f"""
+d{r} AS MATERIALIZED (
+  SELECT rid, cluster, sum((l.x - c.x) * (l.x - c.x))::BIGINT AS distance FROM spread l JOIN c{r} c USING (dim) GROUP BY rid, cluster
+), a{r} AS MATERIALIZED (
+  SELECT rid, cluster, distance FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, cluster) = 1
+)"""
+
+    def moved(r: int) -> str:
+        return f"""
+s{r} AS MATERIALIZED (
+  SELECT cluster, dim, sum(x)::BIGINT AS s, count(*) AS n FROM spread JOIN a{r} USING (rid) GROUP BY cluster, dim
+), c{r + 1} AS MATERIALIZED (
+  SELECT cluster, dim, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{r} LEFT JOIN s{r} USING (cluster, dim)
+)"""
+
+    steps = ",".join(f"{assigned(r)},{moved(r)}" for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), spread AS MATERIALIZED (
+  SELECT rid, unnest(q) AS x, generate_subscripts(q, 1) AS dim FROM kept
+), first AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('3:' || vec_id), q) - 1 AS cluster FROM kept
+), c0 AS MATERIALIZED (
+  SELECT cluster, dim, x FROM spread JOIN first USING (rid) WHERE cluster < {k}
+),{steps},{assigned(rounds)}, digests AS (
+  SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster
+)
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (rid) JOIN digests USING (cluster)
+"""
+
+
+ORACLES["op11_centroid_clustering"] = _rounds(k=8, rounds=10, dims=64)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, embedding_dedup, line_dedup, mixing, quality_rules, simhash_dedup, substring_dedup, token_counts, token_files
+from . import byte_bpe, centroid_clustering, chat_format, embedding_dedup, line_dedup, mixing, quality_rules, simhash_dedup, substring_dedup, token_counts, token_files
 from .common import map_batches, new_folder, table, texts
 from .oracles import ORACLES as ORACLES
 
@@ -127,10 +127,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_batches(marked, lambda: one, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster_report(*centroid_clustering.clusters(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_embedding_dedup, op3_chat_format, op4_quality_rules, op5_token_files, op6_simhash_dedup,
         op7_byte_bpe, op8_token_counts, op9_line_dedup, op10_substring_dedup,
+        op11_centroid_clustering,
     )
 }
