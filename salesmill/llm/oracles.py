@@ -168,3 +168,43 @@ FROM a{rounds} JOIN kept USING (rid) JOIN digests USING (cluster)
 
 
 ORACLES["op11_centroid_clustering"] = _rounds(k=8, rounds=10, dims=64)
+
+
+def _page_blocks(html: str, tags: str) -> str:
+    """Trimmed texts between the given tags, other markup taken out and character references decoded, empty ones left out."""
+    decoded = "regexp_replace(b, '<br>', ' ', 'g')"
+    decoded = f"regexp_replace({decoded}, '<[^>]*(>|$)', '', 'g')"
+    for name, char in {"quot": '"', "lt": "<", "gt": ">", "copy": "©", "middot": "·", "amp": "&"}.items():
+        decoded = f"regexp_replace({decoded}, '&{name};?', '{char}', 'g')"
+    trimmed = f"trim(regexp_replace({decoded}, '\\s+', ' ', 'g'))"
+    return f"list_filter(list_transform(string_split_regex({html}, '</?(?:{tags})(?: [^>]*)?>'), lambda b: {trimmed}), lambda b: b <> '')"
+
+
+# The given pages mark their articles and hold few kinds of markup; hosts are small enough for one suffix array each.
+ORACLES["op12_html_extraction"] = rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS html,
+    lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '')) AS host
+  FROM pages
+), parts AS (
+  SELECT rid, page_id, url, host, regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1) AS article,
+    regexp_replace(regexp_replace(html, '(?s)<article>.*?(</article>|$)', '<p>'), '(?s)<head>.*?</head>|<!--.*?-->|<!DOCTYPE[^>]*>', '', 'g') AS rest
+  FROM p
+), blocks AS (
+  SELECT rid, page_id, url, host, {_page_blocks("article", "p|h1|div")} AS main, {_page_blocks("rest", "p|html|body|nav|ul|li|div|footer")} AS other
+  FROM parts
+), streams AS (
+  SELECT row_number() OVER () AS sid, host, other, string_split(array_to_string(other, ' '), ' ') AS words, count(*) OVER (PARTITION BY host) AS n_streams
+  FROM (SELECT DISTINCT host, other FROM blocks)
+), windows AS (
+  SELECT sid, host, n_streams, i, array_to_string(words[i:i + 4], ' ') AS w
+  FROM streams, LATERAL (SELECT unnest(generate_series(1, len(words) - 4)) AS i)
+), common AS (
+  SELECT sid, i FROM (SELECT sid, i, n_streams, count(DISTINCT sid) OVER (PARTITION BY host, w) AS n FROM windows)
+  WHERE n >= greatest(2, ceil(0.2 * n_streams))
+), covered AS (
+  SELECT sid, count(DISTINCT i + s) AS n FROM common, (SELECT unnest(generate_series(0, 4)) AS s) GROUP BY sid
+)
+SELECT page_id, url, array_to_string(main, chr(10)) AS text, length(array_to_string(main, chr(10))) AS n_chars, coalesce(n, 0) AS n_repeated
+FROM blocks JOIN streams ON blocks.host = streams.host AND blocks.other = streams.other LEFT JOIN covered USING (sid)
+"""

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, centroid_clustering, chat_format, embedding_dedup, line_dedup, mixing, quality_rules, simhash_dedup, substring_dedup, token_alignment, token_counts, token_files
+from . import byte_bpe, centroid_clustering, chat_format, embedding_dedup, html_extraction, line_dedup, mixing, quality_rules, simhash_dedup, substring_dedup, token_alignment, token_counts, token_files
 from .common import map_batches, new_folder, table, texts
 from .oracles import ORACLES as ORACLES
 
@@ -131,6 +131,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering.cluster_report(*centroid_clustering.clusters(table(spark, sf_dir, "embeddings")))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.extracted(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return token_alignment.alignment(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
@@ -141,6 +146,6 @@ QUERIES = {
     for f in (
         op1_mixing, op2_embedding_dedup, op3_chat_format, op4_quality_rules, op5_token_files, op6_simhash_dedup,
         op7_byte_bpe, op8_token_counts, op9_line_dedup, op10_substring_dedup,
-        op11_centroid_clustering, op13_token_alignment,
+        op11_centroid_clustering, op12_html_extraction, op13_token_alignment,
     )
 }
