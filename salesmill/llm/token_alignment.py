@@ -3,7 +3,7 @@
 Both tokenizers read the whole text, A by its pretoken pattern. Byte offsets where a token of each ends are shared ends.
 A shared end before a token that both mark with a space is an anchor; anchors split the document into windows of token
 ids. What a window aligns to, and whether its bytes agree, depends on its ids alone, so both are memoised by its ids in a
-bounded table: only new windows are walked token by token. A's bytes are compared with space+text, so windows that agree
+bounded table: only new windows are aligned token by token, those of a batch together. A's bytes are compared with space+text, so windows that agree
 verify the shared ends and B as a whole.
 
 A document's distinct id pairs are staged; the number of documents that hold a pair is one combined count. Pairs found
@@ -19,25 +19,27 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from array import array
+import json
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import Pieces
-from .common import Recent, map_batches, staged, texts
+from .common import map_batches, staged, texts
 from .token_counts import byte_symbols
-from .token_files import Encoder
 
 #: The character pieces use for a space.
 SPACE_MARK = "▁"
+#: What follows an id in the text of the groups: another of its side, the other side, the next group.
+SEPARATORS = ",|;"
 #: A pair with more than one in HOT_SHARE of all rows is hot.
 HOT_SHARE = 100_000
-#: Bounds of what a worker remembers; they change its speed and memory only.
-MEMO_PIECES, MEMO_WINDOWS = 150_000, 200_000
-#: Windows of more tokens than this are aligned without being remembered.
+#: Bound of the windows a worker remembers (twice, while the older half goes); it changes its speed and memory only.
+MEMO_WINDOWS = 300_000
+#: Windows of more tokens than this are not remembered.
 MEMO_TOKENS = 64
 
 
@@ -51,78 +53,120 @@ class Vocabulary:
 
     def __init__(self, raw: list[bytes]):
         self.raw = raw
-        self.sizes = [len(r) for r in raw]
-        self.length = np.array(self.sizes, np.int64)
+        self.length = np.array([len(r) for r in raw], np.int64)
         self.marked = np.array([r[:1] == b" " for r in raw])
 
 
+def read_vocabulary(path: str) -> dict[bytes, int]:
+    """Token bytes and ids of a byte-level BPE file (.json) whose ids follow the order of its merges."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    byte = {s: b for b, s in enumerate(byte_symbols())}
+    ids = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if all(c in byte for c in token)}
+    merged = [ids[b"".join(bytes(byte[c] for c in part) for part in (m.split(" ") if isinstance(m, str) else m))] for m in spec["model"]["merges"]]
+    if spec.get("normalizer") or merged != sorted(merged):
+        raise ValueError("a byte-level vocabulary without a normalizer, in the order of its merges, is needed")
+    return ids
+
+
 class Aligner:
     """Encodes with a byte-level BPE file (A) and a sentencepiece file (B) and aligns the two."""
 
     def __init__(self, path_a: str, path_b: str, pattern: str):
         import sentencepiece
-
-        encoder = Encoder(path_a, pattern)
-        # Ids by pieces of the text: special strings in it are plain text.
-        self.a = Pieces(encoder.pieces.whole.make, MEMO_PIECES)
-        byte = {s: b for b, s in enumerate(byte_symbols())}
-        vocabulary = [""] * encoder.library.get_vocab_size()
-        for token, i in encoder.library.get_vocab().items():
-            vocabulary[i] = token
-        # Names of special tokens hold characters that stand for no byte; text never gives their ids.
-        self.of_a = Vocabulary([bytes(byte[c] for c in t) if all(c in byte for c in t) else b"" for t in vocabulary])
+        import tiktoken
+
+        ids = read_vocabulary(path_a)
+        # No special tokens: their strings in a text are plain text.
+        self.a = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ids, special_tokens={})
+        raw = [b""] * (max(ids.values()) + 1)
+        for token, i in ids.items():
+            raw[i] = token
+        self.of_a = Vocabulary(raw)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.vocab_size())]
         self.of_b = Vocabulary(
             [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in pieces]
         )
-        self.windows = Recent(self.walk, MEMO_WINDOWS)
+        # Every id as it is written before each separator.
+        self.names = [f"{i}{separator}" for i in range(max(len(raw), len(pieces))) for separator in SEPARATORS]
+        self.name_length = np.array([len(n) for n in self.names], np.int64)
+        self.known: dict[bytes, tuple] = {}
+        self.older: dict[bytes, tuple] = {}
 
-    def walk(self, key: bytes) -> tuple[int, bytes, str] | None:
-        """Number of groups, links (packed pairs of 8 bytes) and the text of the groups of a window; None if its bytes differ.
+    def align(self, keys: list[bytes]) -> list[tuple[int, bytes, str] | None]:
+        """Of each window: its number of groups, its links (packed pairs of 8 bytes) and the text of its groups; None if its bytes differ.
 
-        `key` holds the ids of A, then those of B with OF_B added.
+        A window is the bytes of its ids: those of A, then those of B with OF_B added. Both spell equally many bytes, so
+        byte offsets over all windows together stay in step.
         """
-        ids = memoryview(key).cast("i").tolist()
-        n = next(i for i, x in enumerate(ids) if x >= OF_B)
-        ids_a, ids_b = ids[:n], [x - OF_B for x in ids[n:]]
-        if b"".join([self.of_a.raw[i] for i in ids_a]) != b"".join([self.of_b.raw[i] for i in ids_b]):
-            return None
-        size_a, size_b = self.of_a.sizes, self.of_b.sizes
-        if len(ids_a) == len(ids_b) == 1:
-            return 1, array("i", (ids_b[0], ids_a[0])).tobytes(), f"{ids_a[0]}|{ids_b[0]}"
-        links, out = [], []
-        from_i = from_j = 0
-        i, j, to_a, to_b = 1, 1, size_a[ids_a[0]], size_b[ids_b[0]]  # both ends are those of tokens i - 1 and j - 1
-        while True:
-            links += (ids_b[j - 1], ids_a[i - 1])  # the two overlap
-            if to_a == to_b:
-                mine = str(ids_a[from_i]) if i - from_i == 1 else ",".join(map(str, ids_a[from_i:i]))
-                other = str(ids_b[from_j]) if j - from_j == 1 else ",".join(map(str, ids_b[from_j:j]))
-                out.append(f"{mine}|{other}")
-                if i == len(ids_a):
-                    return len(out), array("i", links).tobytes(), ";".join(out)
-                from_i, from_j = i, j
-                to_a += size_a[ids_a[i]]
-                to_b += size_b[ids_b[j]]
-                i, j = i + 1, j + 1
-            elif to_a < to_b:
-                to_a += size_a[ids_a[i]]
-                i += 1
-            else:
-                to_b += size_b[ids_b[j]]
-                j += 1
-
-    def aligned(self, text: str) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-        """n_a, n_b, n_groups, n_links, groups_sha256, the linked pairs and how often each is linked, of a text."""
-        spaced = " " + text
-        a, b = np.frombuffer(b"".join(self.a(spaced)), "<i4"), np.array(self.b.encode(text), "<i4")
+        if not keys:
+            return []
+        flat = np.frombuffer(b"".join(keys), "<i4")
+        window = np.repeat(np.arange(len(keys)), [len(k) // 4 for k in keys])
+        is_b = flat >= OF_B
+        a, b, window_a = flat[~is_b].astype(np.int64), flat[is_b].astype(np.int64) - OF_B, window[~is_b]
+        ends_a, ends_b = np.cumsum(self.of_a.length[a]), np.cumsum(self.of_b.length[b])
+        # Two tokens overlap once between each two neighbouring ends.
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        links = (a[at_a] << 32 | b[at_b]).astype("<i8").tobytes()
+        to_link = (np.cumsum(np.bincount(window_a[at_a], minlength=len(keys))) * 8).tolist()
+        shared = ends[(ends_a[at_a] == ends) & (ends_b[at_b] == ends)]
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        to_a, to_b = np.cumsum(np.bincount(group_a)), np.cumsum(np.bincount(group_b))
+        groups = np.bincount(window_a[to_a - 1], minlength=len(keys)).tolist()
+        # The text of all groups: the ids of A, then those of B, each with what follows it.
+        place_a = np.arange(len(a)) + np.append(0, to_b)[group_a]
+        place_b = np.arange(len(b)) + to_a[group_b]
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[to_a - 1], last_b[to_b - 1] = 1, 2
+        written = np.empty(len(flat), np.int64)
+        written[place_a], written[place_b] = a * len(SEPARATORS) + last_a, b * len(SEPARATORS) + last_b
+        text = "".join([self.names[i] for i in written.tolist()])
+        to_id = np.cumsum(np.bincount(window))
+        to_char = np.cumsum(self.name_length[written])[to_id - 1].tolist()
+        out: list[tuple[int, bytes, str] | None] = [
+            (n, links[l0:l1], text[c0 : c1 - 1])  # without the last separator
+            for n, l0, l1, c0, c1 in zip(groups, [0, *to_link], to_link, [0, *to_char], to_char)
+        ]
+        raw_a, raw_b = b"".join([self.of_a.raw[i] for i in a.tolist()]), b"".join([self.of_b.raw[i] for i in b.tolist()])
+        if raw_a != raw_b:
+            to_byte = ends_a[np.cumsum(np.bincount(window_a)) - 1].tolist()
+            for w, (start, end) in enumerate(zip([0, *to_byte], to_byte)):
+                if raw_a[start:end] != raw_b[start:end]:
+                    out[w] = None
+        return out
+
+    def look_up(self, keys: list[bytes]) -> list[tuple[int, bytes, str] | None]:
+        """`align` from memory; new windows are aligned together. The older half of what is known goes when it is full."""
+        known = self.known
+        missing = {k for k in keys if k not in known}
+        known.update((k, self.older[k]) for k in missing if k in self.older)
+        new = [k for k in missing if k not in known]
+        known.update(zip(new, self.align(new)))
+        out = [known[k] for k in keys]
+        for k in new:
+            if len(k) > MEMO_TOKENS * 4:
+                del known[k]
+        if len(known) > MEMO_WINDOWS:
+            self.known, self.older = {}, known
+        return out
+
+    def windows(self, text: str, b: list[int]) -> tuple[int, int, list[bytes]]:
+        """n_a, n_b and the windows of a text, given its ids of B; no windows if the bytes of one tokenizer are not space+text."""
+        ids_a = self.a.encode_ordinary(" " + text)
+        if not text or not b or self.a.decode_bytes(ids_a) != (" " + text).encode():
+            return 0, 0, []
+        a, b = np.array(ids_a, "<i4"), np.array(b, "<i4")
         ends_a, ends_b = np.cumsum(self.of_a.length[a]), np.cumsum(self.of_b.length[b])
-        if not text or not len(b) or ends_a[-1] != ends_b[-1] or b"".join([self.of_a.raw[i] for i in a.tolist()]) != spaced.encode():
-            return 0, 0, 0, 0, "", NONE, NONE
-        at = np.searchsorted(ends_b, ends_a)
-        shared = ends_b[at] == ends_a
-        last_a, last_b = np.nonzero(shared)[0], at[shared]
+        if ends_a[-1] != ends_b[-1]:
+            return 0, 0, []
+        number = np.full(ends_b[-1] + 1, -1, np.int64)
+        number[ends_b] = np.arange(len(b))
+        at = number[ends_a]
+        last_a = np.nonzero(at >= 0)[0]
+        last_b = at[last_a]
         # The end of the text is an anchor; of the other shared ends those before a marked token of each.
         anchor = np.append(self.of_a.marked[a[last_a[:-1] + 1]] & self.of_b.marked[b[last_b[:-1] + 1]], True)
         cut_a, cut_b = last_a[anchor] + 1, last_b[anchor] + 1
@@ -130,17 +174,23 @@ class Aligner:
         both = np.empty(len(a) + len(b), "<i4")
         both[np.arange(len(a)) + np.repeat(np.append(0, cut_b[:-1]), np.diff(cut_a, prepend=0))] = a
         both[np.arange(len(b)) + np.repeat(cut_a, np.diff(cut_b, prepend=0))] = b + OF_B
-        ends = (cut_a + cut_b) * 4
-        raw, starts = both.tobytes(), np.append(0, ends[:-1])
-        known = self.windows.__getitem__
-        if (ends - starts).max() > MEMO_TOKENS * 4:
-            known = lambda key: self.windows[key] if len(key) <= MEMO_TOKENS * 4 else self.walk(key)
-        found = [known(raw[i:j]) for i, j in zip(starts.tolist(), ends.tolist())]
-        if None in found:  # B changes the text
-            return 0, 0, 0, 0, "", NONE, NONE
-        links = np.frombuffer(b"".join([links for _, links, _ in found]), "<i8")
-        digest = hashlib.sha256(";".join([groups for _, _, groups in found]).encode()).hexdigest()
-        return len(a), len(b), sum([n for n, _, _ in found]), len(links), digest, *np.unique(links, return_counts=True)
+        raw, ends = both.tobytes(), ((cut_a + cut_b) * 4).tolist()
+        return len(a), len(b), [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+    def aligned(self, batch: list[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
+        """n_a, n_b, n_groups, n_links, groups_sha256, the linked pairs and how often each is linked, of each text."""
+        cut = [self.windows(*both) for both in zip(batch, self.b.encode(batch, num_threads=1))]
+        found = self.look_up(list(chain.from_iterable([keys for _, _, keys in cut])))
+        at = 0
+        for n_a, n_b, keys in cut:
+            mine = found[at : at + len(keys)]
+            at += len(keys)
+            if not mine or None in mine:  # B changes the text
+                yield 0, 0, 0, 0, "", NONE, NONE
+                continue
+            links = np.frombuffer(b"".join([links for _, links, _ in mine]), "<i8")
+            digest = hashlib.sha256(";".join([groups for _, _, groups in mine]).encode()).hexdigest()
+            yield n_a, n_b, sum([n for n, _, _ in mine]), len(links), digest, *np.unique(links, return_counts=True)
 
 
 @functools.cache
@@ -159,7 +209,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str, id_col: str
         align = aligner(path_a, path_b, pattern).aligned
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n_a, n_b, n_groups, n_links, digests, pairs, times = zip(*map(align, texts(batch.column(2))))
+            n_a, n_b, n_groups, n_links, digests, pairs, times = zip(*align(texts(batch.column(2))))
             offsets = pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32())
             flat = lambda parts, kind: pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts), kind))
             return pa.RecordBatch.from_arrays(
