@@ -422,6 +422,9 @@ def oracles() -> dict[str, str]:
     o["recent_window"] = mart(f"SELECT transaction_id, date, AnioMes, total_amount FROM mart WHERE date >= {AS_OF} - INTERVAL 60 DAY")
 
     o["csv_roundtrip"] = o["bronze"] = over("", f"SELECT {csv_cells()} FROM raw")
+    o["gzip_chain"] = o["bronze"]
+    noted = "'\"' || coalesce(notes, '') || '\",' || chr(10) || chr(10) || product_id"
+    o["quoted_csv"] = over("", f"SELECT {csv_cells()} FROM (SELECT * REPLACE ({noted} AS notes) FROM raw)")
     o["csv_jagged"] = over("", f"SELECT {jagged()} FROM raw")
     o["csv_corrupt"] = over("", f"SELECT product_id, CASE WHEN customer_segment IS NULL THEN 'short_row' WHEN status IS NULL THEN 'long_row' END AS reason, {COUNT} AS n FROM raw GROUP BY 1, 2")
     o["external_view"] = over("", "SELECT transaction_id, '\"' || region || '\",' || chr(10) || product_id AS notes, nullif(modified_date, '') AS modified_date FROM raw")

@@ -26,7 +26,7 @@ from salesmill.plans.session import tune
 from salesmill.plans.staging import new_path, stage
 from salesmill.schemas import CLEAN_SCHEMA, RAW_COLUMNS
 from salesmill.sinks import tables
-from salesmill.sources import files, lines
+from salesmill.sources import files, gzip_members, lines
 from salesmill.sources.star_schema import transactions_raw
 from salesmill.streaming.jobs import latest_totals, monthly_windows, stream_clean, stream_impute, stream_split, stream_totals
 
@@ -210,6 +210,21 @@ def external_view(spark, sf_dir) -> DataFrame:
     return files.external_view(spark, path).select("transaction_id", "notes", "modified_date")
 
 
+def quoted_csv(spark, sf_dir) -> DataFrame:
+    """The whole extract with line breaks and quotes in its notes, landed from files that are split all the same."""
+    noted = landed(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.coalesce("notes", F.lit("")), F.lit('",\n\n'), F.col("product_id")))
+    path = new_path(spark, "quoted")
+    tables.write_csv(noted, path)
+    return files.land_bronze(spark, path, new_path(spark, "bronze"), quoted_newlines=True)
+
+
+def gzip_chain(spark, sf_dir) -> DataFrame:
+    """The whole extract in gzip files of many members, each read by several tasks."""
+    path = new_path(spark, "members")
+    gzip_members.write_members(landed(spark, sf_dir), path, member_rows=2000)
+    return files.read_gzip_csv(spark, path, block_bytes=200_000)
+
+
 def bronze(spark, sf_dir) -> DataFrame:
     return files.land_bronze(spark, _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "bronze"))
 
@@ -465,6 +480,8 @@ def _queries() -> dict[str, Query]:
         "csv_corrupt": csv_corrupt,
         "external_view": external_view,
         "bronze": bronze,
+        "quoted_csv": quoted_csv,
+        "gzip_chain": gzip_chain,
         "lines_parse": lines_parse,
         "lines_text": lines_text,
         "line_rejects": line_rejects,

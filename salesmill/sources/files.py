@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from salesmill.schemas import RAW_SCHEMA
+from salesmill.sources.gzip_members import BLOCK_BYTES, gzip_lines, listed, readable
+from salesmill.sources.records import parse_records, records, text_lines
 
 CORRUPT = "_corrupt_record"
 
@@ -28,16 +30,36 @@ def csv_schema(keep_corrupt: bool = False) -> T.StructType:
 def read_csv(spark: SparkSession, path, quoted_newlines: bool = False, keep_corrupt: bool = False, header: bool = True) -> DataFrame:
     """CSV extract with the fixed all-text schema; short rows end in NULLs and extra fields are dropped.
 
-    `quoted_newlines` makes Spark read every file whole, in one task: leave it off for large single files
-    that have none. `keep_corrupt` adds the text of rows whose field count is wrong; the parser then reads
-    all columns, since a pruned one could not be missed.
+    With `quoted_newlines` a record may span lines; files are still split (see `records`), at the price of a first
+    pass over them, which runs right away. `keep_corrupt` adds the text of rows whose field count is wrong; the parser
+    then reads all columns, since a pruned one could not be missed.
     """
-    reader = spark.read.schema(csv_schema(keep_corrupt)).options(**CSV_OPTIONS)
-    return reader.options(multiLine=quoted_newlines, header=header, columnPruning=not keep_corrupt).csv(path)
+    options = CSV_OPTIONS | {"header": header, "columnPruning": not keep_corrupt}
+    if quoted_newlines:
+        return parse_records(records(text_lines(spark, path), header), csv_schema(keep_corrupt), options)
+    return spark.read.schema(csv_schema(keep_corrupt)).options(**options).csv(path)
+
+
+def read_gzip_csv(spark: SparkSession, path, quoted_newlines: bool = False, keep_corrupt: bool = False, header: bool = True,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """`read_csv` of gzip files that are split where their members start (see `gzip_members`).
+
+    Spark's own reader takes over where every file fits in a block, and where workers cannot open the files at any byte.
+    """
+    found = listed(spark, path)
+    if all(size <= block_bytes for _, size in found) or not readable(found):
+        return read_csv(spark, path, quoted_newlines, keep_corrupt, header)
+    lines, options = gzip_lines(spark, found, block_bytes), CSV_OPTIONS | {"columnPruning": not keep_corrupt}
+    if quoted_newlines:
+        rows = records(lines.drop("first"), header)
+    else:
+        text = F.rtrim(F.col("value").cast("string"), F.lit("\r"))
+        rows = (lines.where(~F.col("first")) if header else lines).select(text.alias("value")).where("trim(value) <> ''")
+    return parse_records(rows, csv_schema(keep_corrupt), options)
 
 
 def external_view(spark: SparkSession, path, name: str = "raw_data") -> DataFrame:
-    """The extract as a view over the files: nothing is copied, quoted newlines and short rows are allowed."""
+    """The extract as a view over the files: quoted newlines and short rows are allowed, and nothing is copied but records that cross blocks."""
     df = read_csv(spark, path, quoted_newlines=True)
     df.createOrReplaceTempView(name)
     return df
@@ -46,10 +68,12 @@ def external_view(spark: SparkSession, path, name: str = "raw_data") -> DataFram
 def land_bronze(spark: SparkSession, source, target: str, quoted_newlines: bool = False) -> DataFrame:
     """Copy a compressed extract to Parquet once, so that all later reads are split and pruned.
 
-    A gzip file is one task however large it is. The rebalance lets Spark choose the number of output
-    files from the actual size, by its advisory partition size.
+    Gzip files are split where they can be. The rebalance lets Spark choose the number of output files from the actual
+    size, by its advisory partition size.
     """
-    read_csv(spark, source, quoted_newlines).hint("rebalance").write.mode("overwrite").parquet(target)
+    paths = [source] if isinstance(source, str) else source
+    read = read_gzip_csv if all(p.endswith(".gz") for p in paths) else read_csv
+    read(spark, source, quoted_newlines).hint("rebalance").write.mode("overwrite").parquet(target)
     return spark.read.schema(RAW_SCHEMA).parquet(target)
 
 
