@@ -440,7 +440,11 @@ def oracles() -> dict[str, str]:
     o["add_column"] = over(filled("external"), "SELECT transaction_id, unit_price, unit_price_imput, unit_price_imput IS NOT NULL AS was_filled FROM filled")
     o["text_sink"] = text_rows()
     o["stream_append"] = o["microbatch_clean"]
-    o["stream_filled"] = o["datamart_clean"]
+    o["stream_filled"] = o["stream_moving_rows"] = o["datamart_clean"]
+    o["stream_moving_means"] = o["store_add"] = o["price_means_category"]
+    o["store_refresh"] = o["price_means_product"]
+    o["update_in_place"] = o["add_column"]
+    o["stream_monthly"] = o["eda_monthly"]
     o["stream_windows"] = over(
         rows("datamart"),
         f"SELECT time_bucket(INTERVAL 30 DAY, timestamp, TIMESTAMP '1970-01-01') AS window_start, {total('total_amount')} AS revenue, {COUNT} AS transactions "

@@ -67,6 +67,11 @@ def parts_mean(s_exact="s_exact", s_float="s_float", n_inexact="n_inexact", n="n
     return F.when(F.col(n) > 0, total / F.col(n))
 
 
+def parts_sum(s_exact="s_exact", s_float="s_float", n_inexact="n_inexact") -> Column:
+    """Sum from `sum_parts` columns; NULL for an empty group."""
+    return _total(F.col(s_exact), F.col(s_float), F.col(n_inexact))
+
+
 def exact_sum(c: Column) -> Column:
     """Sum of doubles that does not depend on row order or task retries while decimals can carry it.
 

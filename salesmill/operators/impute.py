@@ -82,8 +82,11 @@ def _lookup(left: DataFrame, right: DataFrame, keys: list[str], null_safe, how:
     return left.join(right, _same_keys(left, right, keys, null_safe), how).drop(*[f"r_{k}" for k in keys])
 
 
-def fill_table(groups: DataFrame, spec: Imputation = Imputation()) -> DataFrame:
-    """For every key combination with a missing price: `fill_price` and the `fill_level` (1-4) it came from."""
+def fill_table(groups: DataFrame, spec: Imputation = Imputation(), overall: DataFrame | None = None) -> DataFrame:
+    """For every key combination with a missing price: `fill_price` and the `fill_level` (1-4) it came from.
+
+    `overall`: the groups of the whole table, where `groups` holds some of its months only.
+    """
     fills = groups.where("n_missing > 0").select(*KEYS, "n_missing")
     levels = range(1, min(spec.levels, 3) + 1)
     for level in levels:
@@ -91,7 +94,7 @@ def fill_table(groups: DataFrame, spec: Imputation = Imputation()) -> DataFrame:
     means = {level: F.col(f"mean_{level}") for level in levels}
     if spec.levels == 4:
         means[4] = F.col("mean_4")
-        fills = fills.withColumn("mean_4", global_mean(groups).scalar())
+        fills = fills.withColumn("mean_4", global_mean(groups if overall is None else overall).scalar())
     reached = [F.when(m.isNotNull(), F.lit(level)) for level, m in means.items()]
     return fills.select(
         *KEYS,
@@ -113,7 +116,11 @@ class Fills:
 def prepare_fills(df: DataFrame, spec: Imputation = Imputation()) -> Fills:
     """Aggregate `df` once, stage the group sums and the fills they resolve to, and measure the latter."""
     groups = stage(price_groups(df, spec), "price-groups")
-    fills = stage(fill_table(groups, spec), "fills")
+    return measure_fills(stage(fill_table(groups, spec), "fills"))
+
+
+def measure_fills(fills: DataFrame) -> Fills:
+    """A staged `fill_table` with its size."""
     size = fills.agg(F.sum("n_missing"), F.sum(row_bytes(fills))).first()
     return Fills(fills, size[0] or 0, size[1] or 0)
 

@@ -17,7 +17,8 @@ from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS
 from salesmill.functions.text import clean_text, strip
 from salesmill.operators import dashboard, quality
 from salesmill.operators.clean import clean, finish
-from salesmill.operators.impute import BROADCAST_BYTES, global_mean, level_means, prepare_fills, price_groups, impute
+from salesmill.operators.impute import BROADCAST_BYTES, apply_fills, global_mean, level_means, prepare_fills, price_groups, impute
+from salesmill.operators.price_store import PriceStore
 from salesmill.operators.sampling import sample_rows
 from salesmill.operators.stats import table_stats
 from salesmill.plans.jobs import build_datamart, run_job
@@ -26,9 +27,12 @@ from salesmill.plans.session import tune
 from salesmill.plans.staging import new_path, stage
 from salesmill.schemas import CLEAN_SCHEMA, RAW_COLUMNS
 from salesmill.sinks import tables
+from salesmill.sinks.monthly import MonthlyTable
 from salesmill.sources import files, gzip_members, lines
 from salesmill.sources.star_schema import transactions_raw
-from salesmill.streaming.jobs import latest_totals, monthly_windows, stream_clean, stream_impute, stream_split, stream_totals
+from salesmill.streaming.jobs import (
+    customer_months, latest_totals, monthly_totals, monthly_windows, stream_clean, stream_impute, stream_moving_fills, stream_split, stream_totals,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +167,41 @@ def price_means(level: int, spark, sf_dir) -> DataFrame:
     return level_means(groups, level, PROFILES["datamart"].imputation) if level < 4 else global_mean(groups)
 
 
+def store_refresh(spark, sf_dir) -> DataFrame:
+    """Means from stored sums, after the months of one year were corrected and only those were read again."""
+    rows = cleaned(spark, sf_dir, "datamart", PRICE_COLUMNS)
+    year = F.col("AnioMes").between(199701, 199712)
+    table = MonthlyTable(spark, new_path(spark, "monthly"))
+    table.replace(rows.withColumn("unit_price", F.when(year, F.col("unit_price") * 2).otherwise(F.col("unit_price"))))
+    store = PriceStore(spark, new_path(spark, "price-store"), PROFILES["datamart"].imputation)
+    store.refresh(table.read())
+    corrected = table.replace(rows.where(year))
+    store.refresh(table.read(corrected), corrected)
+    return store.means(1)
+
+
+def store_add(spark, sf_dir) -> DataFrame:
+    """Means from stored sums to which the second half of the rows was added later."""
+    rows = cleaned(spark, sf_dir, "datamart", PRICE_COLUMNS)
+    late = F.crc32(F.coalesce("transaction_id", F.lit(""))) % 2 == 1
+    store = PriceStore(spark, new_path(spark, "price-store"), PROFILES["datamart"].imputation)
+    store.add(rows.where(~late))
+    store.add(rows.where(late))
+    return store.means(2)
+
+
+def update_in_place(spark, sf_dir) -> DataFrame:
+    """The price column added to a finished table, and filled in the months that miss prices."""
+    table = MonthlyTable(spark, new_path(spark, "monthly"))
+    table.replace(cleaned(spark, sf_dir, "external"))
+    table.add_column("unit_price_imput", CLEAN_SCHEMA["unit_price_imput"].dataType)
+    fills = prepare_fills(table.read(), PROFILES["external"].imputation)
+    months = [r[0] for r in fills.table.select("AnioMes").distinct().collect()]
+    fill = lambda rows: apply_fills(rows.drop("unit_price_imput"), fills, PROFILES["external"].imputation).drop("impute_level")
+    table.rewrite(months, fill)
+    return table.read().select("transaction_id", "unit_price", "unit_price_imput", F.col("unit_price_imput").isNotNull().alias("was_filled"))
+
+
 # -- files, sinks, streams --------------------------------------------------------------------------------------
 
 
@@ -333,6 +372,33 @@ def stream_filled(spark, sf_dir) -> DataFrame:
     return spark.read.schema(CLEAN_SCHEMA).parquet(target + "/batch=*")
 
 
+def _moving_fills(spark, sf_dir, files_per_trigger: int | None) -> tuple[PriceStore, str]:
+    source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
+    p = PROFILES["datamart"]
+    store = PriceStore(spark, new_path(spark, "price-store"), p.imputation)
+    rows = clean(files.stream_csv(spark, source, files_per_trigger), p, AS_OF)
+    stream_moving_fills(rows, store, target, new_path(spark, "stream-state")).awaitTermination()
+    return store, target
+
+
+def stream_moving_rows(spark, sf_dir) -> DataFrame:
+    """Rows filled by means that move with the stream; all files make one batch, so those of the batch job."""
+    return spark.read.schema(CLEAN_SCHEMA).parquet(_moving_fills(spark, sf_dir, None)[1] + "/batch=*")
+
+
+def stream_moving_means(spark, sf_dir) -> DataFrame:
+    """The means after several batches: those of one run over all their rows."""
+    return _moving_fills(spark, sf_dir, 3)[0].means(2)
+
+
+def stream_monthly(spark, sf_dir) -> DataFrame:
+    """Totals and distinct customers per calendar month of a stream."""
+    source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
+    rows = finish(clean(files.stream_csv(spark, source), "datamart", AS_OF), "datamart")
+    stream_totals(customer_months(rows), target, new_path(spark, "stream-state")).awaitTermination()
+    return monthly_totals(spark, target)
+
+
 def stream_windows(spark, sf_dir) -> DataFrame:
     """Event-time totals, the last state of each window kept."""
     source, target = _csv_copy(spark, sf_dir, "gzip"), new_path(spark, "stream")
@@ -495,6 +561,12 @@ def _queries() -> dict[str, Query]:
         "stream_append": stream_append,
         "stream_filled": stream_filled,
         "stream_windows": stream_windows,
+        "stream_moving_rows": stream_moving_rows,
+        "stream_moving_means": stream_moving_means,
+        "stream_monthly": stream_monthly,
+        "store_refresh": store_refresh,
+        "store_add": store_add,
+        "update_in_place": update_in_place,
         "quality_figures": quality_figures,
         "rejects": rejects,
         "schema_report": schema_report,

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salesmill.functions.numeric import exact_sum
+from salesmill.functions.dates import year_month
+from salesmill.functions.numeric import exact_sum, merge_parts, parts_mean, parts_sum, round_money, sum_parts
 from salesmill.operators.clean import clean, finish
 from salesmill.operators.impute import Fills, apply_fills
+from salesmill.operators.price_store import PriceStore
 from salesmill.operators.quality import split_corrupt
 from salesmill.plans.profiles import Profile, get_profile
 from salesmill.sources.files import stream_csv
@@ -53,7 +55,7 @@ def stream_split(spark: SparkSession, source: str, target: str, rejects: str, ch
 def stream_impute(rows: DataFrame, fills: Fills, target: str, checkpoint: str, profile: str | Profile = "datamart") -> StreamingQuery:
     """Fill the prices of a stream of cleaned rows from the means of an earlier batch.
 
-    The means need whole months, so a stream looks them up instead of computing them. Each micro-batch is
+    The means stay those of that batch; `stream_moving_fills` moves them. Each micro-batch is
     written to a folder of its own under `target`, so a repeated batch replaces itself.
     """
     p = get_profile(profile)
@@ -68,6 +70,52 @@ def stream_impute(rows: DataFrame, fills: Fills, target: str, checkpoint: str, p
     )
 
 
+def stream_moving_fills(rows: DataFrame, store: PriceStore, target: str, checkpoint: str, profile: str | Profile = "datamart") -> StreamingQuery:
+    """Fill the prices of a stream of cleaned rows from means that move with it.
+
+    Each micro-batch first adds its sums to `store`, marked with its number, and is then filled from all rows so far. A
+    repeated batch replaces its sums and its rows.
+    """
+    p = get_profile(profile)
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        months = store.add(batch, mark=epoch)
+        finish(apply_fills(batch, store.fills(months), p.imputation), p).write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+
+    return (
+        rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def customer_months(rows: DataFrame, late_months: int = 1) -> DataFrame:
+    """Mergeable totals per calendar month and customer of a stream of finished rows.
+
+    State holds a customer once per month, however many rows it has. A month is closed, and its state dropped, by the
+    first row of a month more than `late_months` after the next one; rows of closed months are left out.
+    """
+    month_end = F.add_months(F.trunc("date", "month"), 1).cast("timestamp")
+    timed = rows.where(F.col("date").isNotNull()).withColumn("month_end", month_end)
+    kept = timed.withWatermark("month_end", f"{31 * late_months + 1} days").groupBy("month_end", "customer_id")
+    return kept.agg(*[c.alias(n) for n, c in sum_parts(F.col("total_amount")).items()], F.try_sum("quantity").alias("quantity"))
+
+
+def monthly_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The figures of `dashboard.monthly` from the last state of each customer and month that `stream_totals` wrote."""
+    parts = ["s_exact", "s_float", "n_inexact", "n", "quantity"]
+    last = spark.read.parquet(target).groupBy("month_end", "customer_id").agg(F.max_by(F.struct(*parts), "batch").alias("last"))
+    # One row per customer and month, so counting rows counts distinct customers.
+    months = last.select("month_end", "customer_id", "last.*").groupBy("month_end").agg(
+        *[c.alias(n) for n, c in merge_parts().items()], F.count("customer_id").alias("customers"),
+        F.when(F.count("quantity") == 0, F.lit(0).cast("long")).otherwise(F.try_sum("quantity")).alias("quantity"),
+    )
+    return months.select(
+        year_month(F.add_months(F.col("month_end").cast("date"), -1)).alias("year_month"),
+        round_money(F.coalesce(parts_sum(), F.lit(0.0))).alias("revenue"), round_money(parts_mean()).alias("avg_amount"),
+        F.col("n").alias("transactions"), "quantity", "customers",
+    )
+
+
 def monthly_windows(rows: DataFrame, late: str = "7 days", length: str = "30 days") -> DataFrame:
     """Revenue and transactions per event-time window of a stream of cleaned rows.
 
