@@ -421,6 +421,18 @@ def oracles() -> dict[str, str]:
     o["eda_price_p95"] = mart("SELECT quantile_cont(unit_price, 0.95) AS p95 FROM mart")
     o["recent_window"] = mart(f"SELECT transaction_id, date, AnioMes, total_amount FROM mart WHERE date >= {AS_OF} - INTERVAL 60 DAY")
 
+    # Up to 4096 customers a sketch holds them all.
+    o["sketch_customers"] = mart(
+        f"SELECT region, {COUNT} AS n_rows, CAST(count(DISTINCT customer_id) AS BIGINT) AS n_customers FROM mart GROUP BY 1 "
+        f"UNION ALL SELECT '*', {COUNT}, CAST(count(DISTINCT customer_id) AS BIGINT) FROM mart"
+    )
+    o["sketch_kept_customers"] = mart(
+        "SELECT m.AnioMes, m.region, CAST(count(DISTINCT m.customer_id) AS BIGINT) AS n_customers, CAST(count(DISTINCT l.customer_id) AS BIGINT) AS n_kept "
+        "FROM (SELECT DISTINCT AnioMes, region, customer_id FROM mart) m LEFT JOIN (SELECT DISTINCT AnioMes, region, customer_id FROM mart) l "
+        "ON l.region = m.region AND l.customer_id = m.customer_id AND l.AnioMes // 100 * 12 + l.AnioMes % 100 + 1 = m.AnioMes // 100 * 12 + m.AnioMes % 100 GROUP BY 1, 2"
+    )
+    o["sketch_price_quantiles"] = mart(f"SELECT AnioMes, region, {COUNT} AS n_prices, true AS near FROM mart WHERE unit_price IS NOT NULL GROUP BY 1, 2")
+
     o["csv_roundtrip"] = o["bronze"] = over("", f"SELECT {csv_cells()} FROM raw")
     o["gzip_chain"] = o["bronze"]
     noted = "'\"' || coalesce(notes, '') || '\",' || chr(10) || chr(10) || product_id"

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from salesmill.functions import dates, numeric, rules
 from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS
 from salesmill.functions.text import clean_text, strip
-from salesmill.operators import dashboard, quality
+from salesmill.operators import dashboard, quality, sketches
 from salesmill.operators.clean import clean, finish
 from salesmill.operators.impute import BROADCAST_BYTES, apply_fills, global_mean, level_means, prepare_fills, price_groups, impute
 from salesmill.operators.price_store import PriceStore
@@ -202,6 +202,42 @@ def update_in_place(spark, sf_dir) -> DataFrame:
     return table.read().select("transaction_id", "unit_price", "unit_price_imput", F.col("unit_price_imput").isNotNull().alias("was_filled"))
 
 
+SKETCHED = ["customer_id", "region", "unit_price"]
+
+
+def _sketch_store(spark, sf_dir) -> tuple[sketches.SketchStore, DataFrame]:
+    """Sketches of which one year's were taken anew from that year's months."""
+    rows = datamart(spark, sf_dir, SKETCHED)
+    store = sketches.SketchStore(spark, new_path(spark, "sketches"))
+    year = F.col("AnioMes").between(199701, 199712)
+    store.refresh(rows.withColumn("customer_id", F.when(year, F.lit("nobody")).otherwise(F.col("customer_id"))))
+    store.refresh(rows, [199700 + m for m in range(1, 13)])
+    return store, rows
+
+
+def sketch_customers(spark, sf_dir) -> DataFrame:
+    """Distinct customers per region, and in all, from merged sketches (exact up to 4096 of them)."""
+    held = _sketch_store(spark, sf_dir)[0].sketches()
+    columns = ["region", "n_rows", "n_customers"]
+    return sketches.figures(held, ["region"]).select(*columns).unionByName(sketches.figures(held, []).withColumn("region", F.lit("*")).select(*columns))
+
+
+def sketch_kept_customers(spark, sf_dir) -> DataFrame:
+    return sketches.kept_customers(_sketch_store(spark, sf_dir)[0].sketches())
+
+
+def sketch_price_quantiles(spark, sf_dir) -> DataFrame:
+    """Per month and region: prices, and whether the sketched 95th percentile has a rank within the stated error."""
+    store, rows = _sketch_store(spark, sf_dir)
+    found = sketches.figures(store.sketches(), sketches.GROUP).select(*sketches.GROUP, "price")
+    # One row per month and region on the right.
+    ranked = rows.where("unit_price is not null").join(F.broadcast(found), sketches.GROUP)
+    share = lambda hit: F.count_if(hit) / F.count(F.lit(1))
+    low, high = share(F.col("unit_price") < F.col("price")), share(F.col("unit_price") <= F.col("price"))
+    near = (low <= 0.95 + sketches.RANK_ERROR) & (high >= 0.95 - sketches.RANK_ERROR)
+    return ranked.groupBy(*sketches.GROUP).agg(F.count(F.lit(1)).alias("n_prices"), near.alias("near"))
+
+
 # -- files, sinks, streams --------------------------------------------------------------------------------------
 
 
@@ -567,6 +603,9 @@ def _queries() -> dict[str, Query]:
         "store_refresh": store_refresh,
         "store_add": store_add,
         "update_in_place": update_in_place,
+        "sketch_customers": sketch_customers,
+        "sketch_kept_customers": sketch_kept_customers,
+        "sketch_price_quantiles": sketch_price_quantiles,
         "quality_figures": quality_figures,
         "rejects": rejects,
         "schema_report": schema_report,
