@@ -406,6 +406,8 @@ def oracles() -> dict[str, str]:
         f"SELECT strftime(date, '%Y-%m') AS year_month, {REVENUE}, "
         f"round({mean('total_amount')}, 2) AS avg_amount, count(total_amount) AS transactions, {QUANTITY}, {CUSTOMERS} FROM mart GROUP BY 1"
     )
+    o["cached_monthly"] = o["eda_monthly"]
+    o["named_columns"] = o["text_chunked"]
     o["eda_categories"] = groups("product_category", REVENUE, QUANTITY, TRANSACTIONS)
     o["eda_top_products"] = groups("product_id", REVENUE, QUANTITY, TRANSACTIONS, limit=10)
     o["eda_lifecycle"] = shared("product_lifecycle", "revenue", REVENUE, QUANTITY, TRANSACTIONS)

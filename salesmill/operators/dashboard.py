@@ -15,6 +15,7 @@ from salesmill.functions.numeric import exact_avg, exact_sum, round_money
 from salesmill.operators.clean import as_of_column
 from salesmill.operators.quantile import exact_quantile, quantile_of, value_counts
 from salesmill.operators.stats import table_stats
+from salesmill.plans.reuse import ResultCache
 from salesmill.plans.staging import stage
 
 
@@ -183,6 +184,10 @@ PAGES: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
 }
 
 
-def page(df: DataFrame, name: str) -> dict[str, DataFrame]:
-    """All results of one dashboard page; `persist` the table first when showing more than one of them."""
-    return {title: query(df) for title, query in PAGES[name].items()}
+def page(df: DataFrame, name: str, cache: ResultCache | None = None) -> dict[str, DataFrame]:
+    """All results of one dashboard page, from `cache` where one is given.
+
+    Without one, `persist` the table first when showing more than one of them.
+    """
+    results = {title: query(df) for title, query in PAGES[name].items()}
+    return {title: cache.get(result) for title, result in results.items()} if cache else results
