@@ -380,6 +380,8 @@ def oracles() -> dict[str, str]:
     o |= {f"dates_{p}": over("", f"SELECT {date('date', p)} AS date, {date('modified_date', p)} AS modified_date FROM raw") for p in dated}
     o |= {f"timestamps_{p}": over("", f"SELECT {timestamp('timestamp', p)} AS ts FROM raw") for p in dated}
     o["anio_mes_sliced"] = over("", f"SELECT date, {month('trim(date)', 'lines')} AS AnioMes FROM raw")
+    modified = "CAST(nullif(modified_date, '') AS DATE)"
+    o["free_dates"] = over("", f"SELECT {modified} AS day_first, {modified} AS month_first FROM raw")
     o["numeric_casts"] = over("", f"SELECT {long('quantity')} AS quantity, {double('quantity')} AS quantity_float, " + ", ".join(f"{double(c)} AS {c}" for c in NUMBERS[1:]) + " FROM raw")
     o["quantity_flag"] = over("", f"SELECT quantity, {flag(f'({long('quantity')}) IS NULL')} AS after_integer_cast, {flag(double('quantity') + ' IS NULL')} AS after_float_cast, {flag('quantity IS NULL')} AS before_cast FROM raw")
     o["defaults_datamart"] = over("", "SELECT " + ", ".join(f"{row_columns('datamart')[c]} AS {c}" for c in rules.DATAMART_DEFAULTS) + " FROM raw")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from salesmill.functions import dates, numeric, rules
 from salesmill.functions.categories import CATEGORY_COLUMNS, CATEGORIZERS
 from salesmill.functions.text import clean_text, strip
-from salesmill.operators import dashboard, quality, sketches
+from salesmill.operators import dashboard, date_layouts, quality, sketches
 from salesmill.operators.clean import clean, clean_columns, finish
 from salesmill.operators.impute import BROADCAST_BYTES, apply_fills, global_mean, level_means, prepare_fills, price_groups, impute
 from salesmill.operators.price_store import PriceStore
@@ -106,6 +106,26 @@ def parsed_timestamps(profile: str, spark, sf_dir) -> DataFrame:
     return raw(spark, sf_dir).select(dates.parse_timestamp(F.col("timestamp"), profile).alias("ts"))
 
 
+def free_dates(spark, sf_dir) -> DataFrame:
+    """Two columns of mixed layouts, one with the day and one with the month first, settled by their own values."""
+    d = F.col("modified_date").try_cast("date")
+    kind = F.crc32(F.coalesce("transaction_id", F.col("product_id"))) % 6
+    written = lambda f: F.date_format(d, f)
+    name = F.element_at(F.array(*map(F.lit, [m for m in list(date_layouts.MONTHS)[12:] if m != "setiembre"])), F.month(d))
+    forms = {
+        "day_first": ["d/M/yyyy", "dd-MM-yyyy", "d MMMM yyyy", None, "MMM d, yyyy", "dd.MM.yy"],
+        "month_first": ["M/d/yyyy", "MM-dd-yy", "yyyy/MM/dd", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy.dd.MM"],
+    }
+    mixed = landed(spark, sf_dir, ["transaction_id", "product_id", "modified_date"])
+    for column, layouts in forms.items():
+        text = F.lit(None).cast("string")
+        for i, f in enumerate(layouts):
+            value = written(f) if f else F.concat(F.dayofmonth(d), F.lit(" de "), name, F.lit(" de "), F.year(d))
+            text = F.when(kind == i, value).otherwise(text)
+        mixed = mixed.withColumn(column, text)
+    return date_layouts.parse_columns(mixed.select(*forms), list(forms))
+
+
 def anio_mes_sliced(spark, sf_dir) -> DataFrame:
     text_date = strip(F.coalesce(F.col("date"), F.lit("")))
     return raw(spark, sf_dir).select("date", dates.anio_mes_text(text_date).alias("AnioMes"))
@@ -547,6 +567,7 @@ def _queries() -> dict[str, Query]:
     q |= {f"timestamps_{p}": partial(parsed_timestamps, p) for p in DATE_PROFILES}
     q |= {
         "anio_mes_sliced": anio_mes_sliced,
+        "free_dates": free_dates,
         "numeric_casts": numeric_casts,
         "quantity_flag": quantity_flag,
         "defaults_datamart": defaults_datamart,
