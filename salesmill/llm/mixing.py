@@ -4,10 +4,11 @@ A softmax classifier over telling words is trained on a bounded sample of labell
 posterior over the domains. Each document then gets a rate r >= 0 such that the expected tokens of each domain,
 sum over documents of rate * tokens * posterior, come as close as possible to target totals.
 
-The fit is projected-gradient least squares, run as Spark aggregations. A step moves every rate against the gradient,
-scaled by the domains' small Gram matrix, and clips at zero; a rate is a function of the document's posterior and of the
-steps so far, so nothing but the few numbers of each step travels between driver and executors, and every task replays
-the steps over its own rows. A step that does not lower the error is halved.
+The fit is projected-gradient least squares, run as Spark aggregations. A step moves every rate against the gradient of
+the point it leads to and clips at zero; such an implicit step is found by Newton's method in one number per domain and
+converges whether or not the targets are in reach. A rate is a function of the document's posterior and of the steps so
+far, so nothing but the few numbers of each step travels between driver and executors, and every task replays the steps
+over its own rows. `Fit` tells the totals before, reached and wanted.
 
 Labels join by broadcast of the sample only (at most `max_labelled` rows), texts never move. Null text has no words and
 no tokens; null ids are never labelled; an empty table gives no rows; rows pass one to one. A domain without labelled
@@ -16,7 +17,7 @@ documents is left out of the posteriors; without any labels every document is in
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -190,61 +191,108 @@ def _matrix(column: pa.Array, classes: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, classes)
 
 
-def moments(rows: DataFrame, steps: list[np.ndarray], classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens of each domain at the present rates, and the Gram matrix of the documents that can still move."""
+@dataclass
+class Moments:
+    """What one pass over the documents sums at the present rates.
+
+    total: expected tokens of each domain; gram: how they move with a step, over the documents that can still move;
+    squares: tokens times squared rates.
+    """
+
+    total: np.ndarray
+    gram: np.ndarray
+    squares: float
+
+
+def moments(rows: DataFrame, steps: list[np.ndarray], classes: int) -> Moments:
     done = np.array(steps).reshape(-1, classes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(classes + classes * classes)
+        sums = np.zeros(classes + classes * classes + 1)
         for batch in batches:
             if batch.num_rows:
                 p, n = _matrix(batch.column("p"), classes), batch.column("n_tokens").to_numpy().astype(np.float64)
                 r = rates_of(p, done)
                 free = np.where(r > 0, n, 0.0)
-                sums += np.concatenate([(r * n) @ p, (p.T @ (free[:, None] * p)).ravel()])
+                sums += np.concatenate([(r * n) @ p, (p.T @ (free[:, None] * p)).ravel(), [n @ (r * r)]])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], names=["i", "value"])
 
     found = rows.select("n_tokens", "p").mapInArrow(task, "i int, value double").groupBy("i").agg(F.sum("value").alias("value")).collect()
-    out = np.zeros(classes + classes * classes)
+    out = np.zeros(classes + classes * classes + 1)
     for row in found:
         out[row.i] = row.value
-    return out[:classes], out[classes:].reshape(classes, classes)
+    return Moments(out[:classes], out[classes:-1].reshape(classes, classes), float(out[-1]))
 
 
 @dataclass
 class Fit:
+    """steps: of the rates; before, reached, targets: expected tokens of each domain; solved: no rate can improve the fit."""
+
     steps: list[np.ndarray]
     before: np.ndarray
     reached: np.ndarray
     targets: np.ndarray
+    solved: bool
+
+    @property
+    def error(self) -> float:
+        """Distance of the totals reached from the targets: zero unless no nonnegative rates give the targets."""
+        return float(np.linalg.norm(self.reached - self.targets))
+
 
+def _step(at: Callable[[np.ndarray], Moments], wanted: np.ndarray, pull: float, tolerance: float, passes: int = 40) -> tuple[np.ndarray, Moments]:
+    """The projected-gradient step `s` that goes along the gradient of where it arrives: pull * s = totals there - targets.
+
+    That is the least point of a convex function of `s` alone, of one number per domain, whose gradient and curvature one
+    pass over the documents sums: Newton steps with a line search find it from anywhere.
+    """
+    value = lambda s, m: pull / 2 * s @ s + m.squares / 2 + wanted @ s
+    step = np.zeros(len(wanted))
+    found = at(step)
+    for _ in range(passes):
+        gradient = pull * step - found.total + wanted
+        if np.abs(gradient).max() <= tolerance:
+            break
+        move = -np.linalg.solve(found.gram + pull * np.eye(len(wanted)), gradient)
+        size = 1.0
+        while True:
+            further = at(step + size * move)
+            if value(step + size * move, further) <= value(step, found) + 1e-4 * size * gradient @ move or size < 1e-9:
+                break
+            size /= 2
+        if size < 1e-9:  # as near as doubles come
+            break
+        step, found = step + size * move, further
+    return step, found
 
-def fit_rates(rows: DataFrame, targets, classes: int = len(DOMAINS), rounds: int = 12, tolerance: float = 1e-4) -> Fit:
-    """Projected-gradient steps until every domain's expected tokens are within `tolerance` of the largest target.
+
+def fit_rates(rows: DataFrame, targets, classes: int = len(DOMAINS), rounds: int = 20, tolerance: float = 1e-6) -> Fit:
+    """Nonnegative rates of least squared distance between the domains' expected tokens and the targets.
+
+    Each round is a projected-gradient step of all rates, r <- max(0, r - p . s), taken implicitly (see `_step`), which
+    converges whatever its length. Rounds end when one no longer improves the fit by `tolerance` of the largest target;
+    targets out of reach end at the nearest totals in reach. A fit that does not settle is marked as not solved.
 
     targets: the domains' target totals, or a function from the present totals to them.
     """
     steps: list[np.ndarray] = []
-    total, gram = moments(rows, steps, classes)
-    before = total
-    wanted = np.asarray(targets(total) if callable(targets) else targets, float)
+    start = moments(rows, steps, classes)
+    wanted = np.asarray(targets(start.total) if callable(targets) else targets, float)
     scale = max(np.abs(wanted).max(), 1.0)
-    for _ in range(rounds):
-        gap = total - wanted
-        if np.abs(gap).max() <= tolerance * scale:
-            break
-        ridge = 1e-9 * max(np.trace(gram), 1.0) * np.eye(classes)
-        step = np.linalg.solve(gram + ridge, gap)
-        for _ in range(6):
-            new_total, new_gram = moments(rows, [*steps, step], classes)
-            if np.sum((new_total - wanted) ** 2) < np.sum(gap**2):
-                steps.append(step)
-                total, gram = new_total, new_gram
-                break
-            step = step / 2
-        else:
+    trace = max(np.trace(start.gram), 1e-9)
+    total, solved = start.total, bool(np.abs(start.total - wanted).max() <= tolerance * scale)
+    for i in range(0 if solved else rounds):
+        # Ever longer steps: the fewer documents the best rates need, the farther these are.
+        pull = trace * max(10.0 ** -(6 + i), 1e-12)
+        step, found = _step(lambda s: moments(rows, [*steps, s], classes), wanted, pull, tolerance * scale / 10)
+        better = np.linalg.norm(total - wanted) - np.linalg.norm(found.total - wanted)
+        if better > 0:
+            steps.append(step)
+            total = found.total
+        if better <= tolerance * scale or np.abs(total - wanted).max() <= tolerance * scale:
+            solved = True
             break
-    return Fit(steps, before, total, wanted)
+    return Fit(steps, start.total, total, wanted, solved)
 
 
 def with_rates(rows: DataFrame, fit: Fit, classes: int = len(DOMAINS)) -> DataFrame:

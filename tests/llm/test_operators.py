@@ -372,6 +372,42 @@ def test_mixing(spark):
     assert np.allclose(x, rate) and np.allclose(total(np.ones(len(n))), fit.before)
 
 
+def nearest_totals(p, n, wanted):
+    """The least distance from `wanted` of totals of nonnegative rates, by an active-set solver over single documents."""
+    a, x, used = (p * n[:, None]).T, np.zeros(len(n)), np.zeros(len(n), bool)
+    for _ in range(1000):
+        gain = a.T @ (wanted - a @ x)
+        gain[used] = -1
+        if gain.max() <= 1e-10 * np.abs(wanted).max() * np.abs(a).max():
+            break
+        used[gain.argmax()] = True
+        while True:
+            s = np.zeros(len(n))
+            s[used] = np.linalg.lstsq(a[:, used], wanted, rcond=None)[0]
+            if (s[used] > 0).all():
+                x = s
+                break
+            low = used & (s <= 0)
+            x = x + np.min(x[low] / (x[low] - s[low])) * (s - x)
+            used &= x > 1e-15
+    return np.linalg.norm(a @ x - wanted)
+
+
+@pytest.mark.parametrize("shape", [(8, 3, 2), (0.2, 0.2, 0.2), (2, 2, 0)])
+@pytest.mark.parametrize("weights", [(0.85, 0.14, 0.01), (0.01, 0.01, 0.98), (1, 0, 0)])
+def test_rates_reach_the_least_distance(spark, shape, weights):
+    """Targets in reach are met; of others the nearest totals in reach are."""
+    r = np.random.default_rng(4)
+    p = r.dirichlet([s or 1e-9 for s in shape], 150)
+    n = r.integers(0, 400, 150)
+    rows = spark.createDataFrame([(int(k), x.tolist()) for k, x in zip(n, p)], "n_tokens long, p array<double>").coalesce(2)
+    wanted = np.array(weights) * n.sum()
+    fit = mixing.fit_rates(rows, wanted)
+    assert fit.solved and fit.error <= nearest_totals(p, n.astype(float), wanted) + 1e-4 * wanted.max()
+    rates = mixing.rates_of(p, np.array(fit.steps).reshape(-1, 3))
+    assert np.allclose((rates * n) @ p, fit.reached) and (rates >= 0).all()
+
+
 def test_mixing_without_labels(spark):
     rated, fit = mixing.mixed(docs_of(spark, [(1, "a b", "h"), (2, None, "h")]), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert [(x.doc_id, list(x.p)) for x in rated.orderBy("doc_id").collect()] == [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0])]
