@@ -57,6 +57,14 @@ def map_batches(
     return df.mapInArrow(task, schema)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """`name`, with as many underscores behind it as it takes to be no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(column: pa.Array) -> list[str]:
     """The strings of a column, null as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -233,4 +233,4 @@ def embedding_classes(
     out = rows.join(by_vec, "vec", "left").select(
         F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id")
     )
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

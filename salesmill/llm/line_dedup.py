@@ -179,12 +179,13 @@ def line_bitmaps(
     return keep_bitmaps(dropped_lines(docs, min_docs, keep_first, min_chars, id_col, text_col))
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the column `_bitmap` (null: every line stays), joined by id and text hash."""
-    right = bitmaps.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("bitmap").alias("_bitmap"))
-    same = (F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == right["_doc"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == right["_row"])
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", bitmap_col: str = "_bitmap") -> DataFrame:
+    """`docs` with the column `bitmap_col` (null: every line stays), joined by id and text hash; `docs` must not have it."""
+    right = bitmaps.select("doc", "row", F.col("bitmap").alias(bitmap_col))
+    same = (F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == right["doc"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == right["row"])
     # The bitmaps are the small side: hashing them spares sorting the texts.
-    return docs.join(right.hint("shuffle_hash"), same, "left").drop("_doc", "_row")
+    joined = docs.join(right.hint("shuffle_hash"), same, "left")
+    return joined.select(*[docs[c] for c in docs.columns], right[bitmap_col])
 
 
 def kept_text(text: str, bitmap: bytes | None) -> tuple[str, int, int]:
