@@ -14,22 +14,30 @@ from pyspark.sql import functions as F
 
 from salesmill.llm import byte_bpe, line_dedup, mixing, quality_rules
 from salesmill.llm import near_duplicates as similar
-from salesmill.llm.common import map_batches, new_folder, staged, table, texts
+from salesmill.llm.common import BLANKS, free_name, map_batches, new_folder, staged, table, texts
 
+#: Rows of more copies than this are dealt over tasks, so many copies at a time.
+COPIES = 64
 
-def _row() -> list:
+
+def _row(id_name: str = "_id", hash_name: str = "_hash") -> list:
     """What identifies a row: its id (null as the least) and the hash of its text."""
     return [
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(line_dedup.NO_ID)).alias("_id"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(line_dedup.NO_ID)).alias(id_name),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias(hash_name),
     ]
 
 
+def _marked(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """`docs` joined with `keys` (_id, _hash and maybe more), the small side, whatever names `docs` has."""
+    names = [free_name(c, docs) for c in keys.columns]
+    found = docs.select("*", *_row(*names[:2]))
+    return found.join(keys.toDF(*names).hint("shuffle_hash"), names[:2], how)
+
+
 def _only(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """The rows of `docs` whose (_id, _hash) is in `keep`; the keys are the small side."""
-    marked = docs.select("*", *_row())
-    keys = keep.select("_id", "_hash").distinct().hint("shuffle_hash")
-    return marked.join(keys, ["_id", "_hash"], "left_semi").select(*docs.columns)
+    """The rows of `docs` whose (_id, _hash) is in `keep`."""
+    return _marked(docs, keep.select("_id", "_hash").distinct(), "left_semi").select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,18 +58,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more stay in the first one only; a document left without a line goes."""
-    marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs=10))
-    names = docs.columns
+    names, bitmap = docs.columns, free_name("_bitmap", docs)
+    marked = line_dedup.with_bitmaps(docs, line_dedup.line_bitmaps(docs, min_docs=10), bitmap_col=bitmap)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kept = [line_dedup.kept_text(t, b)[0] if b is not None else t for t, b in zip(batch.column("text").to_pylist(), batch.column("_bitmap").to_pylist())]
+        kept = [line_dedup.kept_text(t, b)[0] if b is not None else t for t, b in zip(batch.column("text").to_pylist(), batch.column(bitmap).to_pylist())]
         columns = {name: batch.column(name) for name in names} | {"text": pa.array(kept, pa.string())}
         if "n_chars" in columns:
             columns["n_chars"] = pa.array([len(t) if t is not None else None for t in kept]).cast(columns["n_chars"].type)
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     out = map_batches(marked, lambda: cut, docs.schema)
-    return out.where(F.col("text").isNull() | (F.trim("text") != ""))
+    return out.where(F.col("text").isNull() | (F.translate("text", BLANKS, "") != ""))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -100,10 +108,17 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", "row", F.lit("mixing")), 11) / F.lit(float(1 << 53))
     copies = (F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")).alias("_copies")
     kept = rated.select(F.coalesce("doc_id", F.lit(line_dedup.NO_ID)).alias("_id"), F.col("row").alias("_hash"), copies).where("_copies > 0")
-    keys = kept.distinct().hint("shuffle_hash")
+    marked = _marked(docs, kept.distinct(), "inner")
+    copies, block = marked.columns[-1], free_name("_block", marked)
     # The copies of a row are made where it is read: as many as its rate, whose words together are at most the target.
-    marked = docs.select("*", *_row()).join(keys, ["_id", "_hash"])
-    return marked.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    few = marked.where(F.col(copies) <= COPIES).withColumn(block, F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    if (kept.agg(F.max("_copies")).first()[0] or 0) <= COPIES:
+        return few.select(*docs.columns)
+    # A row of many copies goes to several tasks, each of which makes some.
+    ahead = F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, F.lit(COPIES).cast("long")))
+    many = marked.where(F.col(copies) > COPIES).withColumn(block, ahead).repartition(*marked.columns[:2], block)
+    some = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col(copies) - F.col(block))))
+    return few.select(*docs.columns).unionByName(many.withColumn(free_name("_copy", many), some).select(*docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
