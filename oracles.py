@@ -481,4 +481,9 @@ def oracles() -> dict[str, str]:
         f"SELECT {jagged()}, CASE WHEN customer_segment IS NULL THEN 'short_row' ELSE 'long_row' END AS reason, "
         f"(SELECT {COUNT} FROM raw WHERE {whole}) AS n_clean FROM raw WHERE NOT ({whole})",
     )
+    o["stream_progress"] = (
+        f"WITH {RAW.replace('raw AS', 'every AS', 1)}, raw AS (SELECT * FROM every WHERE {whole}), {MART}, "
+        f"n AS (SELECT (SELECT {COUNT} FROM every) AS rows_in, (SELECT {COUNT} FROM raw) AS usable, (SELECT {COUNT} FROM mart) AS rows_out) "
+        "SELECT CAST(2 AS BIGINT) AS batches, rows_in, rows_out, usable - rows_out AS dropped, rows_in - usable AS rejected FROM n"
+    )
     return o

@@ -32,7 +32,8 @@ from salesmill.sinks.monthly import MonthlyTable
 from salesmill.sources import files, gzip_members, lines
 from salesmill.sources.star_schema import transactions_raw
 from salesmill.streaming.jobs import (
-    customer_months, latest_totals, monthly_totals, monthly_windows, stream_clean, stream_impute, stream_moving_fills, stream_split, stream_totals,
+    customer_months, latest_totals, monthly_totals, monthly_windows, stream_clean, stream_impute, stream_moving_fills, stream_split,
+    stream_totals, total_progress,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -474,6 +475,17 @@ def stream_rejects(spark, sf_dir) -> DataFrame:
     return bad.join(F.broadcast(cleaned_rows))  # one row
 
 
+def stream_progress(spark, sf_dir) -> DataFrame:
+    """The counts that a stream recorded, batch by batch, over two runs."""
+    source, target, rejects, progress = (new_path(spark, x) for x in ("jagged", "stream", "rejects", "progress"))
+    state, rows = new_path(spark, "stream-state"), landed(spark, sf_dir)
+    late = F.crc32(F.coalesce("transaction_id", F.lit(""))) % 2 == 1
+    for part in (rows.where(~late), rows.where(late)):
+        _jagged_lines(part).write.mode("append").text(source)
+        stream_split(spark, source, target, rejects, state, "datamart", AS_OF, header=False, progress=progress).awaitTermination()
+    return total_progress(spark, progress)
+
+
 def job_stats(spark, sf_dir) -> DataFrame:
     """The whole job from compressed files to two targets: its report, and the same of the second target."""
     targets = [new_path(spark, "main"), new_path(spark, "mart")]
@@ -638,6 +650,7 @@ def _queries() -> dict[str, Query]:
         "stream_moving_rows": stream_moving_rows,
         "stream_moving_means": stream_moving_means,
         "stream_monthly": stream_monthly,
+        "stream_progress": stream_progress,
         "store_refresh": store_refresh,
         "store_add": store_add,
         "update_in_place": update_in_place,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesmill.functions.dates import year_month
@@ -31,19 +33,48 @@ def stream_clean(spark: SparkSession, source: str, target: str, checkpoint: str,
     )
 
 
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """`df`, and what counts its rows while it is written: no pass of its own."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+def record_progress(spark: SparkSession, path: str, epoch: int, counts: dict[str, int], seconds: float) -> None:
+    """The counts of a micro-batch as a row of a table; a repeated batch replaces its row."""
+    kinds = ", ".join(f"{c} long" for c in counts)
+    row = spark.createDataFrame([(*counts.values(), seconds)], f"{kinds}, seconds double")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+
+
+def total_progress(spark: SparkSession, path: str) -> DataFrame:
+    """One row: batches recorded so far, over all runs of the stream, and the sums of their counts."""
+    rows = spark.read.parquet(path)
+    counts = [c for c, kind in rows.dtypes if kind == "bigint"]
+    return rows.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in counts])
+
+
 def stream_split(spark: SparkSession, source: str, target: str, rejects: str, checkpoint: str, profile: str | Profile = "microbatch",
-                 as_of=None, files_per_trigger: int | None = None, header: bool = True) -> StreamingQuery:
+                 as_of=None, files_per_trigger: int | None = None, header: bool = True, progress: str | None = None) -> StreamingQuery:
     """Like `stream_clean`, but rows with a wrong field count go to `rejects` with their text and reason.
 
     A bad row never stops the stream. Each micro-batch is written to a folder of its own under both targets, so a
-    repeated batch replaces itself.
+    repeated batch replaces itself. With `progress` a table there gets a row per batch: rows_in = rows_out + dropped (by
+    the profile's own filters) + rejected.
     """
     p = get_profile(profile)
 
     def load(batch: DataFrame, epoch: int) -> None:
+        start = time.monotonic()
         good, bad = split_corrupt(batch)
-        finish(clean(good, p, as_of), p).write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+        good, usable = _counted(good, "usable")
+        out, written = _counted(finish(clean(good, p, as_of), p), "written")
+        out.write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+        bad, rejected = _counted(bad, "rejected")
         bad.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
+        if progress:
+            n_usable, n_out, n_bad = (seen.get["n"] for seen in (usable, written, rejected))
+            counts = {"rows_in": n_usable + n_bad, "rows_out": n_out, "dropped": n_usable - n_out, "rejected": n_bad}
+            record_progress(batch.sparkSession, progress, epoch, counts, time.monotonic() - start)
 
     rows = stream_csv(spark, source, files_per_trigger, keep_corrupt=True, header=header)
     return (

@@ -15,7 +15,7 @@ from salesmill.plans.staging import new_path
 from salesmill.schemas import CLEAN_SCHEMA, LINES_SCHEMA, RAW_COLUMNS, conform
 from salesmill.sinks import tables
 from salesmill.sources import files, lines
-from salesmill.streaming.jobs import latest_totals, monthly_windows, stream_clean, stream_split, stream_totals
+from salesmill.streaming.jobs import latest_totals, monthly_windows, record_progress, stream_clean, stream_split, stream_totals, total_progress
 
 AS_OF = "2001-08-01"
 
@@ -149,6 +149,24 @@ def test_stream_sets_bad_rows_aside_and_goes_on(spark, tmp_path):
     assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == ["long_row", "short_row"]
 
 
+def test_recorded_progress_adds_up_over_a_restart(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    target, rejects, state, progress = (new_path(spark, x) for x in ("out", "rejects", "state", "progress"))
+    full = ",".join(["T1", "2023-01-05", *["v"] * 19])
+    unusable = ",".join(["T1", "no date", *["v"] * 19])
+    for name, lines_in in [("a", [full, "a,b", unusable]), ("b", [f"{full},more"]), ("c", [full, full])]:
+        (source / f"{name}.csv").write_text("\n".join([",".join(RAW_COLUMNS), *lines_in]) + "\n")
+        stream_split(spark, str(source), target, rejects, state, "datamart", AS_OF, progress=progress).awaitTermination()
+    rows = {r["batch"]: (r["rows_in"], r["rows_out"], r["dropped"], r["rejected"]) for r in spark.read.parquet(progress).collect()}
+    assert rows == {0: (3, 1, 1, 1), 1: (1, 0, 0, 1), 2: (2, 2, 0, 0)}
+    total = total_progress(spark, progress).first()
+    assert (total.batches, total.rows_in, total.rows_out, total.dropped, total.rejected) == (3, 6, 3, 1, 2)
+    assert spark.read.parquet(target).count() == total.rows_out and spark.read.parquet(rejects).count() == total.rejected
+    record_progress(spark, progress, 2, {"rows_in": 2, "rows_out": 2, "dropped": 0, "rejected": 0}, 1.0)  # a repeated batch
+    assert total_progress(spark, progress).first() == total
+
+
 def test_window_totals_take_the_last_state(spark, tmp_path):
     source, target, state = tmp_path / "in", new_path(spark, "out"), new_path(spark, "state")
     source.mkdir()
