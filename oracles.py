@@ -472,6 +472,7 @@ def oracles() -> dict[str, str]:
     size = "SELECT least({n}, " + COUNT + ") AS n_rows, least({n}, " + COUNT + ") AS n_distinct, least({n}, " + COUNT + ") AS n_members FROM mart"
     o["sample_n_facts"] = mart(size.format(n=10_000))
     o["dashboard_sample"] = mart(size.format(n=100_000) + f" WHERE date >= {AS_OF} - INTERVAL 60 DAY")
+    o["sample_months"] = mart("SELECT AnioMes, region, " + size.format(n=50).removeprefix("SELECT ") + " GROUP BY 1, 2")
     o["job_stats"] = over(clean("datamart"), f"SELECT s.*, target FROM (SELECT {STATS['pipeline']} FROM clean) s, (VALUES (0), (1)) t(target)")
     o["lines_file"] = o["lines_parse"]
     o["line_reject_rows"] = over("", f"SELECT {cut} AS value, CASE WHEN customer_segment IS NULL THEN 'short_row' ELSE 'ok' END AS reason FROM raw")

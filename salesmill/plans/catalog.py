@@ -19,7 +19,7 @@ from salesmill.operators import dashboard, date_layouts, quality, sketches
 from salesmill.operators.clean import clean, clean_columns, finish
 from salesmill.operators.impute import BROADCAST_BYTES, apply_fills, global_mean, level_means, prepare_fills, price_groups, impute
 from salesmill.operators.price_store import PriceStore
-from salesmill.operators.sampling import sample_rows
+from salesmill.operators.sampling import sample_rows, sample_strata
 from salesmill.operators.stats import table_stats
 from salesmill.plans.jobs import build_datamart, run_job
 from salesmill.plans.profiles import PROFILES, prepare
@@ -540,6 +540,19 @@ def dashboard_sample(spark, sf_dir) -> DataFrame:
     return sample_facts(dashboard.recent(datamart(spark, sf_dir), AS_OF), 100_000)
 
 
+def sample_months(spark, sf_dir) -> DataFrame:
+    """Per month and region, what must hold of a sample of 50 rows: its size, its distinct rows, and those of that group."""
+    groups = ["AnioMes", "region"]
+    rows = datamart(spark, sf_dir, ["region"]).select("transaction_id", *groups, F.monotonically_increasing_id().alias("row_no"))
+    numbered = stage(rows, "numbered")
+    sample = stage(sample_strata(numbered, 50, groups), "sample")
+    known = sample.join(numbered.select("row_no", *[F.col(g).alias(f"own_{g}") for g in groups]), "row_no")
+    own = (F.col("AnioMes") == F.col("own_AnioMes")) & F.col("region").eqNullSafe(F.col("own_region"))
+    return known.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_no").alias("n_distinct"), F.count_if(own).alias("n_members")
+    )
+
+
 def over_datamart(report: Callable[[DataFrame], DataFrame], columns: list[str], spark, sf_dir) -> DataFrame:
     return report(datamart(spark, sf_dir, columns))
 
@@ -623,6 +636,7 @@ def _queries() -> dict[str, Query]:
         "sample_n": sample_n,
         "sample_n_facts": sample_n_facts,
         "dashboard_sample": dashboard_sample,
+        "sample_months": sample_months,
         "job_stats": job_stats,
         "lines_file": lines_file,
         "line_reject_rows": line_reject_rows,
