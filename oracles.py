@@ -375,7 +375,7 @@ def oracles() -> dict[str, str]:
     profiles = ["datamart", "external", "chunked", "microbatch", "lines"]
     dated = profiles[:4]
     o = {f"{p}_clean": over(clean(p), "SELECT * FROM clean") for p in profiles}
-    sample = ["customer_id", "product_category", "warehouse", "notes", "created_by"]
+    sample = RAW_COLUMNS
     o |= {f"text_{p}": over("", "SELECT " + ", ".join(f"{text(c, p)} AS {c}" for c in sample) + " FROM raw") for p in profiles}
     o |= {f"dates_{p}": over("", f"SELECT {date('date', p)} AS date, {date('modified_date', p)} AS modified_date FROM raw") for p in dated}
     o |= {f"timestamps_{p}": over("", f"SELECT {timestamp('timestamp', p)} AS ts FROM raw") for p in dated}

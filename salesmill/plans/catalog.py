@@ -44,7 +44,7 @@ PRICE_COLUMNS = [*ID_AND_DATE, "region", "product_id", "product_category", "unit
 # The day that stands for "today" in every registered query.
 AS_OF = "2001-08-01"
 
-TEXT_SAMPLE = ["customer_id", "product_category", "warehouse", "notes", "created_by"]
+TEXT_COLUMNS = RAW_COLUMNS
 DATE_PROFILES = ["datamart", "external", "chunked", "microbatch"]
 
 
@@ -52,25 +52,35 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_raw(tune(spark), sf_dir)
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """What `make` gives, written once per application and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key in _LANDED:
+        try:
+            return spark.read.parquet(_LANDED[key])
+        except AnalysisException:  # the shared folder has been cleared since
+            pass
+    _LANDED[key] = new_path(spark, label)
+    make(spark, sf_dir).write.parquet(_LANDED[key])
+    return spark.read.parquet(_LANDED[key])
 
 
 def landed(spark: SparkSession, sf_dir: str, columns: list[str] = RAW_COLUMNS) -> DataFrame:
     """The extract as files, like the one the jobs are made for, with only the columns a query needs.
 
-    Landed once per application and folder; every query does its own work on it. Without this, filters on cleaned
-    columns would be pushed into the expressions that derive the dirt.
+    Every query does its own work on it. Without this, filters on cleaned columns would be pushed into the expressions
+    that derive the dirt.
     """
     tune(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _LANDED:
-        try:
-            return spark.read.parquet(_LANDED[key]).select(*columns)
-        except AnalysisException:  # the shared folder has been cleared since
-            pass
-    _LANDED[key] = new_path(spark, "landed")
-    raw(spark, sf_dir).write.parquet(_LANDED[key])
-    return spark.read.parquet(_LANDED[key]).select(*columns)
+    return _once(spark, sf_dir, "landed", raw).select(*columns)
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract as text lines."""
+    return _once(spark, sf_dir, "landed-lines", lambda spark, sf_dir: lines.to_lines(landed(spark, sf_dir)))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, profile: str = "datamart", columns: list[str] = RAW_COLUMNS) -> DataFrame:
@@ -83,7 +93,7 @@ def datamart(spark: SparkSession, sf_dir: str, columns: list[str] = RAW_COLUMNS)
 
 
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.parse_lines(stage(lines.to_lines(raw(spark, sf_dir)), "lines"))
+    return lines.parse_lines(landed_lines(spark, sf_dir))
 
 
 def clean_table(profile: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,16 +105,16 @@ def clean_table(profile: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text(profile: str, spark, sf_dir) -> DataFrame:
-    return raw(spark, sf_dir).select(*[clean_text(F.col(c), profile).alias(c) for c in TEXT_SAMPLE])
+    return landed(spark, sf_dir).select(*[clean_text(F.col(c), profile).alias(c) for c in TEXT_COLUMNS])
 
 
 def parsed_dates(profile: str, spark, sf_dir) -> DataFrame:
     columns = ["date", "modified_date"]
-    return raw(spark, sf_dir).select(*[dates.parse_date(F.col(c), profile).alias(c) for c in columns])
+    return landed(spark, sf_dir).select(*[dates.parse_date(F.col(c), profile).alias(c) for c in columns])
 
 
 def parsed_timestamps(profile: str, spark, sf_dir) -> DataFrame:
-    return raw(spark, sf_dir).select(dates.parse_timestamp(F.col("timestamp"), profile).alias("ts"))
+    return landed(spark, sf_dir).select(dates.parse_timestamp(F.col("timestamp"), profile).alias("ts"))
 
 
 def free_dates(spark, sf_dir) -> DataFrame:
@@ -129,12 +139,12 @@ def free_dates(spark, sf_dir) -> DataFrame:
 
 def anio_mes_sliced(spark, sf_dir) -> DataFrame:
     text_date = strip(F.coalesce(F.col("date"), F.lit("")))
-    return raw(spark, sf_dir).select("date", dates.anio_mes_text(text_date).alias("AnioMes"))
+    return landed(spark, sf_dir).select("date", dates.anio_mes_text(text_date).alias("AnioMes"))
 
 
 def numeric_casts(spark, sf_dir) -> DataFrame:
     doubles = ["unit_price", "total_amount", "discount_pct", "tax_amount"]
-    return raw(spark, sf_dir).select(
+    return landed(spark, sf_dir).select(
         numeric.to_long(F.col("quantity")).alias("quantity"),
         numeric.to_double(F.col("quantity")).alias("quantity_float"),
         *[numeric.to_double(F.col(c)).alias(c) for c in doubles],
@@ -142,7 +152,7 @@ def numeric_casts(spark, sf_dir) -> DataFrame:
 
 
 def quantity_flag(spark, sf_dir) -> DataFrame:
-    return raw(spark, sf_dir).select(
+    return landed(spark, sf_dir).select(
         "quantity",
         numeric.null_flag(numeric.to_long(F.col("quantity"))).alias("after_integer_cast"),
         numeric.null_flag(numeric.to_double(F.col("quantity"))).alias("after_float_cast"),
@@ -152,12 +162,12 @@ def quantity_flag(spark, sf_dir) -> DataFrame:
 
 def defaults_datamart(spark, sf_dir) -> DataFrame:
     filled = PROFILES["datamart"].columns(F.lit(AS_OF).cast("date"))
-    prepared = raw(spark, sf_dir).withColumns(prepare("datamart"))
+    prepared = landed(spark, sf_dir).withColumns(prepare("datamart"))
     return prepared.select(*[filled[c].alias(c) for c in rules.DATAMART_DEFAULTS])
 
 
 def category(profile: str, column: str, spark, sf_dir) -> DataFrame:
-    counted = raw(spark, sf_dir).groupBy(F.col(column).alias("raw_value")).agg(F.count(F.lit(1)).alias("n"))
+    counted = landed(spark, sf_dir).groupBy(F.col(column).alias("raw_value")).agg(F.count(F.lit(1)).alias("n"))
     return counted.select("raw_value", CATEGORIZERS[profile](F.col("raw_value"), column).alias("label"), "n")
 
 
@@ -286,14 +296,14 @@ def _jagged_lines(rows: DataFrame) -> DataFrame:
 
 def csv_jagged(spark, sf_dir) -> DataFrame:
     path = new_path(spark, "jagged")
-    _jagged_lines(raw(spark, sf_dir)).write.text(path)
+    _jagged_lines(landed(spark, sf_dir)).write.text(path)
     return files.read_csv(spark, path, header=False)
 
 
 def csv_corrupt(spark, sf_dir) -> DataFrame:
     """The same kinds of lines, split into usable and marked rows, counted."""
     path = new_path(spark, "corrupt")
-    _jagged_lines(raw(spark, sf_dir)).write.text(path)
+    _jagged_lines(landed(spark, sf_dir)).write.text(path)
     good, bad = quality.split_corrupt(files.read_csv(spark, path, keep_corrupt=True, header=False))
     marked = good.select("product_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("product_id", "reason"))
     return marked.groupBy("product_id", "reason").agg(F.count(F.lit(1)).alias("n"))
@@ -301,7 +311,7 @@ def csv_corrupt(spark, sf_dir) -> DataFrame:
 
 def external_view(spark, sf_dir) -> DataFrame:
     """Notes with a line break and quotes, read back through the view."""
-    noted = raw(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.col("region"), F.lit('",\n'), F.col("product_id")))
+    noted = landed(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.col("region"), F.lit('",\n'), F.col("product_id")))
     path = new_path(spark, "external")
     tables.write_csv(noted, path)
     return files.external_view(spark, path).select("transaction_id", "notes", "modified_date")
@@ -327,26 +337,26 @@ def bronze(spark, sf_dir) -> DataFrame:
 
 
 def lines_parse(spark, sf_dir) -> DataFrame:
-    return lines.parse_lines(lines.to_lines(raw(spark, sf_dir)))
+    return lines.parse_lines(landed_lines(spark, sf_dir))
 
 
 def lines_file(spark, sf_dir) -> DataFrame:
     """The lines written as text files, one of them a header, and read back."""
     path = new_path(spark, "lines-file")
-    lines.to_lines(raw(spark, sf_dir)).write.text(path)
+    landed_lines(spark, sf_dir).write.text(path)
     spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string").write.mode("append").text(path)
     return lines.parse_lines(lines.read_lines(spark, path))
 
 
 def lines_text(spark, sf_dir) -> DataFrame:
-    return lines.clean_lines(lines.to_lines(raw(spark, sf_dir)))
+    return lines.clean_lines(landed_lines(spark, sf_dir))
 
 
 def line_reject_rows(spark, sf_dir) -> DataFrame:
     """Lines cut short where the segment is missing, and whether they are usable."""
     cells = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
     line = F.when(F.col("customer_segment").isNull(), F.concat_ws(",", *cells[:15])).otherwise(F.concat_ws(",", *cells))
-    good, bad = quality.split_line_rejects(raw(spark, sf_dir).select(line.alias("value")))
+    good, bad = quality.split_line_rejects(landed(spark, sf_dir).select(line.alias("value")))
     return good.withColumn("reason", F.lit("ok")).unionByName(bad)
 
 
@@ -508,7 +518,7 @@ def rejects(spark, sf_dir) -> DataFrame:
 
 def schema_report(spark, sf_dir) -> DataFrame:
     """The raw extract held against the clean schema."""
-    return quality.check_schema(raw(spark, sf_dir), CLEAN_SCHEMA)
+    return quality.check_schema(landed(spark, sf_dir), CLEAN_SCHEMA)
 
 
 def recent_window(spark, sf_dir) -> DataFrame:
@@ -571,8 +581,8 @@ def cached_monthly(spark, sf_dir) -> DataFrame:
 
 def named_columns(spark, sf_dir) -> DataFrame:
     """A cleaner over those of the named columns that the extract has."""
-    named = [*TEXT_SAMPLE, "absent"]
-    return clean_columns(landed(spark, sf_dir, TEXT_SAMPLE), named, lambda c: clean_text(c, "chunked"))
+    named = [*TEXT_COLUMNS, "absent"]
+    return clean_columns(landed(spark, sf_dir, TEXT_COLUMNS), named, lambda c: clean_text(c, "chunked"))
 
 
 def stats(flavour: str, spark, sf_dir) -> DataFrame:
