@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import Pieces, id_lists, lists
-from .common import map_batches, texts
+from .common import map_batches, staged, texts
 from .token_counts import byte_symbols
 
 OPTIONS = {
@@ -57,10 +57,12 @@ class Encoder:
         self.pieces = Pieces(encode)
         self.special = [t["content"] for t in spec["added_tokens"]]
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str, end: bytes = b"") -> np.ndarray:
+        """The ids of `text`, then those in `end` (4 bytes each)."""
         if any(s in text for s in self.special):  # added tokens are the library's own matter
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<i4")
-        return np.frombuffer(b"".join(self.pieces(text)), "<i4")
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            return np.frombuffer(np.array(ids, "<i4").tobytes() + end, "<i4")
+        return np.frombuffer(b"".join([*self.pieces(text), end]), "<i4")
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -74,9 +76,12 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 def write_tokens(
     docs: DataFrame, folder: str, path: str, pattern: str, end_id: int = 2, files: int | None = None,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", options: dict[str, str] | None = None,
 ) -> None:
-    """Encode `docs` and write doc_id, part, ids to ORC files in `folder`; part numbers the id ranges in order."""
+    """Encode `docs` and write doc_id, part, ids to ORC files in `folder`; part numbers the id ranges in order.
+
+    options: of the ORC writer, over OPTIONS.
+    """
     n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -87,13 +92,13 @@ def write_tokens(
 
     def build():
         encode = encoder(path, pattern).encode
-        end = np.array([end_id], "<i4")
+        end = np.array([end_id], "<i4").tobytes()
         return lambda batch: pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), id_lists([np.append(encode(t), end) for t in texts(batch.column(2))])],
+            [batch.column(0), batch.column(1), id_lists([encode(t, end) for t in texts(batch.column(2))])],
             names=["doc_id", "part", "ids"],
         )
 
-    map_batches(rows, build, "doc_id long, part int, ids array<int>").write.options(**OPTIONS).orc(folder)
+    map_batches(rows, build, "doc_id long, part int, ids array<int>").write.options(**OPTIONS | (options or {})).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,7 +116,8 @@ def token_index(tokens: DataFrame) -> DataFrame:
             names=["doc_id", "part", "n_tokens", "ids_crc32"],
         )
 
-    rows = map_batches(tokens, lambda: sums, "doc_id long, part int, n_tokens long, ids_crc32 long")
+    # Four small columns, read twice below: the ids are read once.
+    rows = staged(map_batches(tokens, lambda: sums, "doc_id long, part int, n_tokens long, ids_crc32 long"))
     ahead = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))  # one row per file
     starts = totals.select("part", ahead(Window.orderBy("part")).alias("before"))

@@ -12,6 +12,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 import xxhash
+from pyarrow import orc
 from tokenizers import Tokenizer
 
 from salesmill.llm import byte_bpe, chat_format, embedding_dedup, graph, line_dedup, mixing, quality_rules, simhash_dedup, substring_dedup, token_counts, token_files
@@ -162,6 +163,35 @@ def test_token_files(spark, corpus):
     assert [len(x.ids) for x in token_files.read_tokens(spark, folder).where("doc_id = 10").collect()] == [want[10][0][0]]
 
 
+def rows_scanned(df):
+    """The rows that the scan of a collected DataFrame gave to the filter above it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_stripes_and_bloom_filters_prune(spark, tmp_path):
+    """Files of several stripes: an id, an id range, and an id that is nowhere read few rows or none."""
+    n = 20_000
+    docs = spark.range(n).selectExpr("id * 3 as doc_id", "concat('some words ', id, ' ', id * 7919 % 1009) as text").repartition(3)
+    small = {"orc.stripe.size": "60000", "orc.row.index.stride": "1000", "orc.rows.between.memory.checks": "500"}
+    folder = str(tmp_path / "tokens")
+    token_files.write_tokens(docs, folder, P.path("byte_bpe_50k.json"), P.PATTERN, files=2, options=small)
+    stripes = [orc.ORCFile(f).nstripes for f in tmp_path.glob("tokens/*.orc")]
+    assert len(stripes) == 2 and min(stripes) >= 3
+    tokens = token_files.read_tokens(spark, folder)
+    scanned = {}
+    for name, where in {"all": "doc_id >= 0", "one": "doc_id = 30000", "none": "doc_id = 30001", "range": "doc_id between 30000 and 31500"}.items():
+        found = tokens.where(where)
+        scanned[name] = (len(found.collect()), rows_scanned(found))
+    assert scanned["all"] == (n, n)
+    assert scanned["one"][0] == 1 and 0 < scanned["one"][1] <= 1000
+    assert scanned["none"] == (0, 0)  # inside a stripe's range: only its Bloom filter can tell
+    assert scanned["range"][0] == 501 and scanned["range"][1] <= n / 5
+
+
 def brute_lines(rows, min_docs, keep_first):
     seen, docs = {}, {}
     key = lambda line: line.strip(" \t\n\v\f\r").translate({c: c + 32 for c in range(65, 91)})
