@@ -69,7 +69,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     out = map_batches(marked, lambda: cut, docs.schema)
-    return out.where(F.col("text").isNull() | (F.translate("text", BLANKS, "") != ""))
+    return out.where(F.col("text").isNull() | F.col("text").rlike(f"[^{BLANKS}]"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
