@@ -221,7 +221,7 @@ def records(lines: DataFrame, header: bool = True, broadcast_bytes: int = BROADC
     # One row per block that the record crosses.
     parts = F.array_sort(F.collect_list(F.struct("block", F.col("value").cast("string").alias("text"))))
     crossing = pieces.groupBy("file", "owner").agg(parts.alias("p"), F.max("first").alias("first"))
-    crossing = crossing.withColumn("value", F.array_join(F.col("p.text"), "\n")).join(F.broadcast(_line_ends(states)), "file", "left")
+    crossing = crossing.withColumn("value", F.array_join(F.col("p.text"), "\n")).join(states.where("crlf").select("file", "crlf").distinct(), "file", "left")
     crossing = crossing.withColumn("value", F.when(F.col("crlf"), F.regexp_replace("value", r"\r(\n|\z)", "$1")).otherwise(F.col("value")))
     crossing = stage(crossing.select("value", "first"), "crossing-records")
     inner = known.mapInArrow(_cutter(False), _CUT).select(F.col("value").cast("string").alias("value"), "first")
@@ -229,10 +229,6 @@ def records(lines: DataFrame, header: bool = True, broadcast_bytes: int = BROADC
     return (both.where(~F.col("first")) if header else both).select("value")
 
 
-def _line_ends(states: DataFrame) -> DataFrame:
-    return states.where("crlf").select("file", "crlf").distinct()
-
-
 def parse_records(found: DataFrame, schema: T.StructType, options: dict) -> DataFrame:
     """Records to columns, by Spark's own CSV parser."""
     text = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
