@@ -148,6 +148,27 @@ def test_stream_of_moving_means_restarts(spark, raw):
     assert written.where("unit_price is null and unit_price_imput is null").isEmpty()
 
 
+def test_rows_of_a_few_files_are_dealt_and_cleaned_once(spark, raw):
+    """A micro-batch of one gzip file is worked on by all cores, and its files are read once for sums and rows."""
+    source, target, state = (new_path(spark, x) for x in ("in", "out", "state"))
+    raw.coalesce(1).write.options(header=True, escape='"', compression="gzip", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(source)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    rows = clean(files.stream_csv(spark, source, 1), "datamart", AS_OF)
+    parts = []
+    rows.writeStream.foreachBatch(lambda b, _: parts.extend(r[0] for r in b.select(F.spark_partition_id()).distinct().collect())).trigger(availableNow=True).start().awaitTermination()
+    assert len(parts) == spark.sparkContext.defaultParallelism
+    store = PriceStore(spark, new_path(spark, "store"), SPEC)
+    counted = F.udf(seen, "string").asNondeterministic()
+    stream_moving_fills(rows.withColumn("region", counted("region")), store, target, state).awaitTermination()
+    assert read.value == clean(raw, "datamart", AS_OF).count()
+    same_rows(store.means(2), level_means(price_groups(clean(raw, "datamart", AS_OF), SPEC), 2, SPEC))
+
+
 def test_stream_of_months_and_customers(spark, raw):
     source, target, state = (new_path(spark, x) for x in ("in", "out", "state"))
     for i in range(2):  # two runs; the second goes on with the state of the first
