@@ -136,6 +136,18 @@ def test_hot_host_is_dealt(spark):
         assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"page{i} is mine") for i in range(400)]
 
 
+def test_shards_do_not_change_results(spark):
+    """A run is boilerplate by its whole host, however the host's pages are dealt over shards."""
+    rows = [(i, f"http://hot.example/{i}", f"<p>own{i} words{i}</p>" + (f"<p>a line that one page in four repeats</p>" if i % 4 == 0 else "") + f"<p>another that {'few pages' if i % 10 == 0 else f'page{i}'} tell so</p>") for i in range(200)]
+    rows += [(i, "http://hot.example/copy", "<p>the same stream on very many pages</p>") for i in range(200, 300)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    read = lambda **k: sorted(map(tuple, html_extraction.extracted(table, **k).collect()))
+    whole = read()
+    assert {r[2] for r in whole if r[0] >= 200} == {"the same stream on very many pages"}
+    assert all(("repeats" in r[2]) is False for r in whole) and sum("few pages" in r[2] for r in whole) == 20
+    assert read(shard_bytes=500) == read(shard_bytes=3000, broadcast_rows=0) == whole
+
+
 def test_long_page_and_no_pages(spark):
     words = " ".join(f"w{i}" for i in range(200_000))
     table = spark.createDataFrame([(1, "http://a.b/", f"<article>{'<b>' * 3000}{words}</article>"), (2, "http://a.b/", f"<p>{words} {words}")], "page_id long, url string, html string")
