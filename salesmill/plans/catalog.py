@@ -79,8 +79,8 @@ def landed(spark: SparkSession, sf_dir: str, columns: list[str] = RAW_COLUMNS) -
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The extract as text lines."""
-    return _once(spark, sf_dir, "landed-lines", lambda spark, sf_dir: lines.to_lines(landed(spark, sf_dir)))
+    """The extract as text lines, joined from its landed columns: no second copy of it is written."""
+    return lines.to_lines(landed(spark, sf_dir))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, profile: str = "datamart", columns: list[str] = RAW_COLUMNS) -> DataFrame:

@@ -68,12 +68,12 @@ def external_view(spark: SparkSession, path, name: str = "raw_data") -> DataFram
 def land_bronze(spark: SparkSession, source, target: str, quoted_newlines: bool = False) -> DataFrame:
     """Copy a compressed extract to Parquet once, so that all later reads are split and pruned.
 
-    Gzip files are split where they can be. The rebalance lets Spark choose the number of output files from the actual
-    size, by its advisory partition size.
+    Gzip files are split where they can be. Every task writes what it has read: no row moves, and Parquet is split
+    whatever the size of its files.
     """
     paths = [source] if isinstance(source, str) else source
     read = read_gzip_csv if all(p.endswith(".gz") for p in paths) else read_csv
-    read(spark, source, quoted_newlines).hint("rebalance").write.mode("overwrite").parquet(target)
+    read(spark, source, quoted_newlines).write.mode("overwrite").parquet(target)
     return spark.read.schema(RAW_SCHEMA).parquet(target)
 
 
