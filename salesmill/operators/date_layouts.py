@@ -56,28 +56,37 @@ class Layouts:
     day_first: dict[tuple[str, bool], bool]
 
 
-def _parts(s: Column) -> tuple[Column, Column, Column, Column]:
-    """First, second and third number of an all-number date, as text, and its separator; empty where it is none."""
-    first, separator, second, third = [F.regexp_extract(s, NUMBERS, i) for i in (1, 2, 3, 4)]
-    return first, second, third, separator
-
-
-def _pair(s: Column) -> tuple[Column, Column, Column]:
-    """The two numbers that are day and month, in their order, and whether the year stands before them."""
-    first, second, third, _ = _parts(s)
-    year_first = (F.length(first) == 4) | ((F.length(third) < 4) & (first.try_cast("int") > 31))
-    a = F.when(year_first, second).otherwise(first).try_cast("int")
-    b = F.when(year_first, third).otherwise(second).try_cast("int")
-    return a, b, year_first
+PARTS = ["text", "first", "second", "third", "separator", "year_first", "a", "b"]
+
+
+def _with_parts(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+    """`df` with columns that hold the parts of each value, and their names by column and part: a pattern runs once per value.
+
+    text: the tidy value. first, second, third, separator: of an all-number date, as text, empty where it is none. a, b:
+    the two numbers that are day and month, in their order. year_first: whether the year stands before them.
+    """
+    mark = "_part"
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark += "_"
+    names = {c: {part: f"{mark}{n}{part}" for part in PARTS} for n, c in enumerate(columns)}
+    df = df.withColumns({names[c]["text"]: tidy(F.col(c)) for c in columns})
+    places = {"first": 1, "separator": 2, "second": 3, "third": 4}
+    df = df.withColumns({n[part]: F.regexp_extract(n["text"], NUMBERS, i) for n in names.values() for part, i in places.items()})
+    year_first = lambda first, third: (F.length(first) == 4) | ((F.length(third) < 4) & (F.col(first).try_cast("int") > 31))
+    df = df.withColumns({n["year_first"]: year_first(n["first"], n["third"]) for n in names.values()})
+    pairs = {}
+    for n in names.values():
+        pairs[n["a"]] = F.when(F.col(n["year_first"]), F.col(n["second"])).otherwise(F.col(n["first"])).try_cast("int")
+        pairs[n["b"]] = F.when(F.col(n["year_first"]), F.col(n["third"])).otherwise(F.col(n["second"])).try_cast("int")
+    return df.withColumns(pairs), names
 
 
 def infer_layouts(df: DataFrame, columns: list[str], day_first: bool = False) -> dict[str, Layouts]:
     """The layouts of several columns, from one aggregate over them. `day_first` settles columns without evidence."""
     counts = []
+    df, names = _with_parts(df.select(*dict.fromkeys(columns)), columns)
     for n, column in enumerate(columns):
-        s = tidy(F.col(column))
-        a, b, year_first = _pair(s)
-        separator = _parts(s)[3]
+        a, b, year_first, separator = [F.col(names[column][part]) for part in ("a", "b", "year_first", "separator")]
         days = (a > 12) & a.between(13, 31) & b.between(1, 12), (b > 12) & b.between(13, 31) & a.between(1, 12)
         for name, text in SEPARATORS.items():
             for before in (False, True):
@@ -104,11 +113,9 @@ def _date(year: Column, month: Column, day: Column) -> Column:
     return F.concat(padded[0], F.lit("-"), padded[1], F.lit("-"), padded[2]).try_cast("date")
 
 
-def parse(c: Column, layouts: Layouts) -> Column:
-    """A text column to dates, read as `layouts` says."""
-    s = tidy(c)
-    first, _, third, separator = _parts(s)
-    a, b, year_first = _pair(s)
+def parse(parts: dict[str, str], layouts: Layouts) -> Column:
+    """The date of a value whose parts are in columns of these names, read as `layouts` says."""
+    s, first, third, separator, a, b, year_first = [F.col(parts[x]) for x in ("text", "first", "third", "separator", "a", "b", "year_first")]
     chosen = F.lit(False)
     for (name, before), day_first in layouts.day_first.items():
         if day_first:
@@ -133,4 +140,5 @@ def parse(c: Column, layouts: Layouts) -> Column:
 def parse_columns(df: DataFrame, columns: list[str], day_first: bool = False) -> DataFrame:
     """`df` with `columns` as dates, each read by its own evidence: one aggregate, then one projection."""
     layouts = infer_layouts(df, columns, day_first)
-    return df.withColumns({c: parse(F.col(c), layouts[c]) for c in columns})
+    found, names = _with_parts(df, columns)
+    return found.withColumns({c: parse(names[c], layouts[c]) for c in columns}).drop(*[name for parts in names.values() for name in parts.values()])

@@ -55,3 +55,13 @@ def test_columns_are_settled_apart_in_one_pass(spark):
 def test_shapes(spark):
     df = spark.createDataFrame([("1/2/2021",), ("3/4/2021",), ("5 März",), (None,)], "v string")
     assert [tuple(r) for r in shapes(df, "v").collect()] == [("9/9/9999", 2, "1/2/2021"), ("9 aaaa", 1, "5 März")]
+
+
+def test_patterns_run_once_per_value(spark):
+    """The parts of a value come from one projection, however many places use them; a caller's columns may have their names."""
+    df = spark.createDataFrame([("13/04/2021", "x"), ("03/04/2021", "y"), (None, "z")], "d string, _part0text string")
+    found = parse_columns(df, ["d"])
+    assert found.columns == ["d", "_part0text"]
+    assert [str(r.d) for r in found.collect()] == ["2021-04-13", "2021-04-03", "None"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\2(") == 5  # the pattern of numbers: a test and four parts
