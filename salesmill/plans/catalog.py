@@ -55,27 +55,46 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
+def _kept(spark: SparkSession, sf_dir: str, label: str) -> DataFrame | None:
+    """What `_once` wrote earlier, if it is still there."""
+    path = _LANDED.get((spark.sparkContext.applicationId, sf_dir, label))
+    try:
+        return spark.read.parquet(path) if path else None
+    except AnalysisException:  # the shared folder has been cleared since
+        return None
+
+
 def _once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """What `make` gives, written once per application and folder of tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key in _LANDED:
-        try:
-            return spark.read.parquet(_LANDED[key])
-        except AnalysisException:  # the shared folder has been cleared since
-            pass
-    _LANDED[key] = new_path(spark, label)
-    make(spark, sf_dir).write.parquet(_LANDED[key])
-    return spark.read.parquet(_LANDED[key])
+    kept = _kept(spark, sf_dir, label)
+    if kept is not None:
+        return kept
+    path = new_path(spark, label)
+    make(spark, sf_dir).write.parquet(path)
+    _LANDED[spark.sparkContext.applicationId, sf_dir, label] = path
+    return spark.read.parquet(path)
 
 
 def landed(spark: SparkSession, sf_dir: str, columns: list[str] = RAW_COLUMNS) -> DataFrame:
     """The extract as files, like the one the jobs are made for, with only the columns a query needs.
 
     Every query does its own work on it. Without this, filters on cleaned columns would be pushed into the expressions
-    that derive the dirt.
+    that derive the dirt. Until a query has landed the whole extract, those that need some columns land these alone.
     """
     tune(spark)
-    return _once(spark, sf_dir, "landed", raw).select(*columns)
+    wanted = [c for c in RAW_COLUMNS if c in columns]
+    whole = _kept(spark, sf_dir, "landed") if wanted != RAW_COLUMNS else _once(spark, sf_dir, "landed", raw)
+    if whole is None:
+        label = "-".join(["landed", *(str(RAW_COLUMNS.index(c)) for c in wanted)])
+        whole = _once(spark, sf_dir, label, lambda spark, sf_dir: raw(spark, sf_dir).select(*wanted))
+    return whole.select(*columns)
+
+
+def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract for a query that writes all of it to files of its own: from the tables, where it is not landed yet."""
+    tune(spark)
+    whole = _kept(spark, sf_dir, "landed")
+    return raw(spark, sf_dir) if whole is None else whole.select(*RAW_COLUMNS)
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,11 +129,11 @@ def text(profile: str, spark, sf_dir) -> DataFrame:
 
 def parsed_dates(profile: str, spark, sf_dir) -> DataFrame:
     columns = ["date", "modified_date"]
-    return landed(spark, sf_dir).select(*[dates.parse_date(F.col(c), profile).alias(c) for c in columns])
+    return landed(spark, sf_dir, columns).select(*[dates.parse_date(F.col(c), profile).alias(c) for c in columns])
 
 
 def parsed_timestamps(profile: str, spark, sf_dir) -> DataFrame:
-    return landed(spark, sf_dir).select(dates.parse_timestamp(F.col("timestamp"), profile).alias("ts"))
+    return landed(spark, sf_dir, ["timestamp"]).select(dates.parse_timestamp(F.col("timestamp"), profile).alias("ts"))
 
 
 def free_dates(spark, sf_dir) -> DataFrame:
@@ -167,7 +186,7 @@ def defaults_datamart(spark, sf_dir) -> DataFrame:
 
 
 def category(profile: str, column: str, spark, sf_dir) -> DataFrame:
-    counted = landed(spark, sf_dir).groupBy(F.col(column).alias("raw_value")).agg(F.count(F.lit(1)).alias("n"))
+    counted = landed(spark, sf_dir, [column]).groupBy(F.col(column).alias("raw_value")).agg(F.count(F.lit(1)).alias("n"))
     return counted.select("raw_value", CATEGORIZERS[profile](F.col("raw_value"), column).alias("label"), "n")
 
 
@@ -275,7 +294,7 @@ def sketch_price_quantiles(spark, sf_dir) -> DataFrame:
 
 def _csv_copy(spark, sf_dir, compression: str = "none") -> str:
     path = new_path(spark, "csv")
-    tables.write_csv(landed(spark, sf_dir), path, compression=compression)
+    tables.write_csv(extract(spark, sf_dir), path, compression=compression)
     return path
 
 
@@ -296,14 +315,14 @@ def _jagged_lines(rows: DataFrame) -> DataFrame:
 
 def csv_jagged(spark, sf_dir) -> DataFrame:
     path = new_path(spark, "jagged")
-    _jagged_lines(landed(spark, sf_dir)).write.text(path)
+    _jagged_lines(extract(spark, sf_dir)).write.text(path)
     return files.read_csv(spark, path, header=False)
 
 
 def csv_corrupt(spark, sf_dir) -> DataFrame:
     """The same kinds of lines, split into usable and marked rows, counted."""
     path = new_path(spark, "corrupt")
-    _jagged_lines(landed(spark, sf_dir)).write.text(path)
+    _jagged_lines(extract(spark, sf_dir)).write.text(path)
     good, bad = quality.split_corrupt(files.read_csv(spark, path, keep_corrupt=True, header=False))
     marked = good.select("product_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("product_id", "reason"))
     return marked.groupBy("product_id", "reason").agg(F.count(F.lit(1)).alias("n"))
@@ -311,7 +330,7 @@ def csv_corrupt(spark, sf_dir) -> DataFrame:
 
 def external_view(spark, sf_dir) -> DataFrame:
     """Notes with a line break and quotes, read back through the view."""
-    noted = landed(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.col("region"), F.lit('",\n'), F.col("product_id")))
+    noted = extract(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.col("region"), F.lit('",\n'), F.col("product_id")))
     path = new_path(spark, "external")
     tables.write_csv(noted, path)
     return files.external_view(spark, path).select("transaction_id", "notes", "modified_date")
@@ -319,7 +338,7 @@ def external_view(spark, sf_dir) -> DataFrame:
 
 def quoted_csv(spark, sf_dir) -> DataFrame:
     """The whole extract with line breaks and quotes in its notes, landed from files that are split all the same."""
-    noted = landed(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.coalesce("notes", F.lit("")), F.lit('",\n\n'), F.col("product_id")))
+    noted = extract(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.coalesce("notes", F.lit("")), F.lit('",\n\n'), F.col("product_id")))
     path = new_path(spark, "quoted")
     tables.write_csv(noted, path)
     return files.land_bronze(spark, path, new_path(spark, "bronze"), quoted_newlines=True)
@@ -328,7 +347,7 @@ def quoted_csv(spark, sf_dir) -> DataFrame:
 def gzip_chain(spark, sf_dir) -> DataFrame:
     """The whole extract in gzip files of many members, each read by several tasks."""
     path = new_path(spark, "members")
-    gzip_members.write_members(landed(spark, sf_dir), path, member_rows=2000)
+    gzip_members.write_members(extract(spark, sf_dir), path, member_rows=2000)
     return files.read_gzip_csv(spark, path, block_bytes=200_000)
 
 
@@ -343,7 +362,7 @@ def lines_parse(spark, sf_dir) -> DataFrame:
 def lines_file(spark, sf_dir) -> DataFrame:
     """The lines written as text files, one of them a header, and read back."""
     path = new_path(spark, "lines-file")
-    landed_lines(spark, sf_dir).write.text(path)
+    lines.to_lines(extract(spark, sf_dir)).write.text(path)
     spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string").write.mode("append").text(path)
     return lines.parse_lines(lines.read_lines(spark, path))
 
@@ -478,7 +497,7 @@ def stream_windows(spark, sf_dir) -> DataFrame:
 def stream_rejects(spark, sf_dir) -> DataFrame:
     """Lines with a wrong field count that a cleaning stream set aside; the others it cleaned, counted."""
     source, target, rejects = new_path(spark, "jagged"), new_path(spark, "stream"), new_path(spark, "rejects")
-    _jagged_lines(landed(spark, sf_dir)).write.text(source)
+    _jagged_lines(extract(spark, sf_dir)).write.text(source)
     stream_split(spark, source, target, rejects, new_path(spark, "stream-state"), "microbatch", AS_OF, header=False).awaitTermination()
     cleaned_rows = spark.read.schema(CLEAN_SCHEMA).parquet(target + "/batch=*").agg(F.count(F.lit(1)).alias("n_clean"))
     bad = spark.read.parquet(rejects).select(*RAW_COLUMNS, "reason")

@@ -23,3 +23,41 @@ def test_lines_are_no_second_copy(spark):
     assert not [key for key in catalog._LANDED if key[2] == "landed-lines"]
     assert before.columns == ["value"] and before.count() == catalog.landed(spark, SF_DIR).count()
     assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
+def test_narrow_queries_land_only_their_columns(spark, monkeypatch):
+    """A query over one column lands that column alone, until the whole extract is there."""
+    monkeypatch.setattr(catalog, "_LANDED", {})
+    lifecycle = catalog.landed(spark, SF_DIR, ["product_lifecycle"])
+    [path] = catalog._LANDED.values()
+    assert spark.read.parquet(path).columns == ["product_lifecycle"]
+    whole = catalog.landed(spark, SF_DIR)
+    assert lifecycle.exceptAll(whole.select("product_lifecycle")).isEmpty() and lifecycle.count() == whole.count()
+    assert catalog.landed(spark, SF_DIR, ["region"]).columns == ["region"] and len(catalog._LANDED) == 2
+
+
+def test_files_of_the_whole_extract_need_no_landing(spark, monkeypatch):
+    """A query that writes the whole extract to files writes it once."""
+    monkeypatch.setattr(catalog, "_LANDED", {})
+    path = catalog._csv_copy(spark, SF_DIR, "gzip")
+    assert not catalog._LANDED
+    written = files.read_csv(spark, path).select("transaction_id", "product_id", "quantity")
+    whole = catalog.raw(spark, SF_DIR).select("transaction_id", "product_id", "quantity")
+    assert written.exceptAll(whole).isEmpty() and whole.exceptAll(written).isEmpty()
+
+
+def _shuffles(df):
+    """Joins and exchanges of the plan as text, with nothing broadcast but what hints ask for."""
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_lines_move_for_orders_and_parts_only(spark):
+    """Orders meet their customers first, so no join of the lines has the customer as its key."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _shuffles(catalog.raw(spark, SF_DIR)).split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    depth = lambda word: min(line.index("Join") for line in plan if "Join" in line and word in line)
+    assert depth("l_orderkey") < depth("c_custkey")
