@@ -8,7 +8,7 @@ from salesmill.functions.dates import date_text, date_value
 from salesmill.functions.numeric import to_double, to_long
 from salesmill.plans.profiles import get_profile
 from salesmill.schemas import NUMERIC_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
-from salesmill.sources.lines import MIN_FIELDS
+from salesmill.sources.lines import MIN_FIELDS, n_fields
 
 
 def quality_figures(raw: DataFrame, clean: DataFrame, profile: str = "datamart") -> DataFrame:
@@ -74,7 +74,7 @@ def split_rejects(raw: DataFrame, profile: str = "datamart") -> tuple[DataFrame,
 
 def split_line_rejects(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines with enough fields, the others with their `reason`)."""
-    short = F.coalesce(F.size(F.split("value", ",")) < MIN_FIELDS, F.lit(True))
+    short = F.coalesce(n_fields(F.col("value")) < MIN_FIELDS, F.lit(True))
     return lines.where(~short), lines.where(short).withColumn("reason", F.lit("short_row"))
 
 

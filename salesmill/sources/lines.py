@@ -22,9 +22,19 @@ def to_lines(raw: DataFrame) -> DataFrame:
     return raw.select(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]).alias("value"))
 
 
+def n_fields(line: Column) -> Column:
+    """How many fields commas cut a line into, without cutting it."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(","), F.lit(""))) + 1
+
+
+def _fields(lines: DataFrame) -> DataFrame:
+    """The fields of usable lines as one array `f`; lines are cut after the others are left out."""
+    return lines.where(n_fields(F.col("value")) >= MIN_FIELDS).select(F.split("value", ",").alias("f"))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines to raw rows: split on every comma, trim, last field optional; short lines are left out."""
-    fields = lines.select(F.split("value", ",").alias("f")).where(F.size("f") >= MIN_FIELDS)
+    fields = _fields(lines)
     last = len(RAW_COLUMNS) - 1
     return fields.select(
         *[strip(F.get("f", F.lit(i))).alias(c) for i, c in enumerate(RAW_COLUMNS[:last])],
@@ -39,8 +49,7 @@ def _line_month(date: Column) -> Column:
 
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Lines to lines: every field repaired, then month, missing-quantity flag and price appended as text."""
-    fields = lines.select(F.split("value", ",").alias("f")).where(F.size("f") >= MIN_FIELDS)
-    fields = fields.select(F.transform("f", lambda x: replace_all(strip(x), "lines")).alias("f"))
+    fields = _fields(lines).select(F.transform("f", lambda x: replace_all(strip(x), "lines")).alias("f"))
     date, quantity, price = [F.get("f", F.lit(i)) for i in (DATE_FIELD, QUANTITY_FIELD, PRICE_FIELD)]
     is_blank = lambda c: strip(c) == ""
     return fields.select(

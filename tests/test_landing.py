@@ -61,3 +61,12 @@ def test_lines_move_for_orders_and_parts_only(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     depth = lambda word: min(line.index("Join") for line in plan if "Join" in line and word in line)
     assert depth("l_orderkey") < depth("c_custkey")
+
+
+def test_fields_of_a_line_are_counted_as_split_does(spark):
+    from pyspark.sql import functions as F
+    from salesmill.sources.lines import n_fields
+
+    lines = spark.createDataFrame([("",), (",",), ("a,b,",), ("ñ,\u2028,x",), (None,)], "value string")
+    counted = lines.select(n_fields(F.col("value")).alias("n"), F.size(F.split("value", ",")).alias("by_split")).collect()
+    assert [r.n for r in counted] == [1, 2, 3, 3, None] and [r.by_split for r in counted[:4]] == [1, 2, 3, 3]
