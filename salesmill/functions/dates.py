@@ -45,8 +45,14 @@ def _iso(c: Column) -> Column:
 
 
 def _date_of(c: Column, *layouts: str) -> Column:
-    """Y-M-D text, or one of `layouts`, to a date; the rewrites only run on text that is not Y-M-D."""
-    return F.when(c.rlike(ISO), c.try_cast("date")).otherwise(_iso(_rewrite(c, *layouts)))
+    """Y-M-D text, or the first of `layouts` that fits, to a date; only a fitting layout is rewritten, once.
+
+    What a layout is rewritten to is Y-M-D, which fits no other.
+    """
+    value = F.when(c.rlike(ISO), c.try_cast("date"))
+    for layout in layouts:
+        value = value.when(c.rlike(REWRITES[layout][0]), _rewrite(c, layout).try_cast("date"))
+    return value
 
 
 def free_form_date(s: Column) -> Column:
@@ -97,8 +103,8 @@ def microbatch_date(s: Column) -> Column:
     iso = F.regexp_extract(s, ISO_MAYBE_TIME, 1)
     return F.when(iso != "", iso.try_cast("date")).otherwise(
         F.coalesce(
-            _iso(_rewrite(s, "M/d/y", "d-M-y", "yyyyMMdd", "y/M/d")),
-            _iso(_rewrite(s, "d/M/y", "M-d-y")),
+            _date_of(s, "M/d/y", "d-M-y", "yyyyMMdd", "y/M/d"),
+            _date_of(s, "d/M/y", "M-d-y"),
             free_form_date(s),
         )
     )

@@ -70,3 +70,21 @@ def test_fields_of_a_line_are_counted_as_split_does(spark):
     lines = spark.createDataFrame([("",), (",",), ("a,b,",), ("ñ,\u2028,x",), (None,)], "value string")
     counted = lines.select(n_fields(F.col("value")).alias("n"), F.size(F.split("value", ",")).alias("by_split")).collect()
     assert [r.n for r in counted] == [1, 2, 3, 3, None] and [r.by_split for r in counted[:4]] == [1, 2, 3, 3]
+
+
+def test_a_date_layout_is_rewritten_once(spark):
+    """Only the layout that fits is rewritten, and the values are those of rewriting by every layout in turn."""
+    from pyspark.sql import functions as F
+    from salesmill.functions import dates
+
+    texts = ["1997-3-1", "3/14/1997", "14-03-1997", "19970314", "1997/3/14", "3/14/1997\n", "14/3/1997", "3-14-1997", "2/30/1997", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for layouts in (["M/d/y", "d-M-y"], ["M/d/y", "d-M-y", "yyyyMMdd", "y/M/d"], ["d/M/y", "M-d-y"]):
+        new, c = dates._date_of(F.col("s"), *layouts), F.col("s")
+        for layout in layouts:
+            c = F.regexp_replace(c, *dates.REWRITES[layout])
+        old = F.when(c.rlike(dates.ISO), c.try_cast("date"))
+        rows = df.select("s", new.alias("new"), old.alias("old")).collect()
+        assert [r.new for r in rows] == [r.old for r in rows], rows
+        n = df.select(new.alias("new"))._jdf.queryExecution().analyzed().toString().count("regexp_replace")
+        assert n == len(layouts)
