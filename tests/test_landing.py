@@ -88,3 +88,13 @@ def test_a_date_layout_is_rewritten_once(spark):
         assert [r.new for r in rows] == [r.old for r in rows], rows
         n = df.select(new.alias("new"))._jdf.queryExecution().analyzed().toString().count("regexp_replace")
         assert n == len(layouts)
+
+
+def test_gzip_copies_are_written_at_the_fastest_level(spark, tmp_path):
+    """The text of a copy compresses further at zlib's usual level."""
+    import gzip
+
+    rows = spark.range(20000).selectExpr("cast(id * id % 9973 as string) AS a", "concat('T', id, '-', id % 7) AS b").coalesce(1)
+    tables.write_csv(rows, str(tmp_path / "c"), compression="gzip")
+    [file] = (tmp_path / "c").glob("*.gz")
+    assert len(gzip.compress(gzip.decompress(file.read_bytes()), 6)) < 0.97 * file.stat().st_size
