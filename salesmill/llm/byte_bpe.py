@@ -4,7 +4,8 @@ A sequence of tokens is what the merges give exactly when each adjacent pair of
 one last token, found from the last tokens of shorter prefixes, and the encoder is a finite-state machine: a state is
 the last token already emitted and the bytes after it whose cut is still open. A token is emitted as soon as every way
 the input could go on agrees on it, which the longest token bounds. States and arcs are made when first met and kept in
-bounded tables. The pretoken pattern cuts the text first; pieces seen before are taken from a memo.
+bounded tables. The pretoken pattern cuts the text first; pretokens seen before are taken from one memo: pieces made of
+them recur less, and remembering both halves what the memo can hold.
 
 Decoding maps ids to bytes and passes them through an incremental UTF-8 state machine, so any chunking gives the same
 text.
@@ -17,7 +18,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -62,12 +63,12 @@ class Pieces:
 class Transducer:
     """Emits the tokens of byte strings; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pairs: int = 500_000):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.prefixes = {token[:i] for token in ranks for i in range(1, len(token))}
-        self.max_states = max_states
+        self.max_states, self.max_pairs = max_states, max_pairs
         self.pairs: dict[int, bool] = {}
         #: A trie of the tokens: arcs by node << 8 | byte, and the rank of the token that ends at a node.
         self.trie: dict[int, int] = {}
@@ -123,7 +124,7 @@ class Transducer:
         key = before << 32 | token
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 2 * self.max_states:
+            if len(self.pairs) > self.max_pairs:
                 self.pairs.clear()
             right = self.bytes_of[token]
             known = self.reached(right) and (before < 0 or self._apart(self.bytes_of[before], right))
@@ -285,7 +286,7 @@ class Utf8Stream:
 
 
 #: Bounds of what a worker remembers; they change its speed and memory, never the ids.
-MAX_STATES, MEMO_MATCHES, MEMO_PIECES = 100_000, 60_000, 80_000
+MAX_STATES, MAX_PAIRS, MEMO_MATCHES = 100_000, 500_000, 250_000
 
 
 class Codec:
@@ -297,18 +298,20 @@ class Codec:
 
     @cached_property
     def machine(self) -> Transducer:
-        return Transducer(self.ranks, MAX_STATES)
+        return Transducer(self.ranks, MAX_STATES, MAX_PAIRS)
 
     @cached_property
-    def pieces(self) -> Pieces:
-        """Ids of texts by their pieces; made on first use, since a worker that only decodes needs no transducer."""
-        find = regex.compile(self.pattern).findall
+    def find(self) -> Callable[[str], list[str]]:
+        return regex.compile(self.pattern).findall
+
+    @cached_property
+    def ids_of(self) -> Callable[[str], bytes]:
+        """Ids of a pretoken; made on first use, since a worker that only decodes needs no transducer."""
         encode = self.machine.encode
-        of_match = Recent(lambda match: array("i", encode(match.encode())).tobytes(), MEMO_MATCHES).__getitem__
-        return Pieces(lambda piece: b"".join(map(of_match, find(piece))), memo=MEMO_PIECES)
+        return Recent(lambda match: array("i", encode(match.encode())).tobytes(), MEMO_MATCHES).__getitem__
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(self.pieces(text)), np.int32)
+        return np.frombuffer(b"".join(map(self.ids_of, self.find(text))), np.int32)
 
     def decode(self, ids: np.ndarray, chunk: int = 65_536) -> Iterable[str]:
         """The text, chunk by chunk."""

@@ -119,6 +119,16 @@ def test_byte_bpe_matches_library_on_any_string():
         assert "".join(codec.decode(ids, chunk=1)) == text
 
 
+def test_byte_bpe_encodes_a_pretoken_once():
+    codec, seen = byte_bpe.Codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN), []
+    codec.machine.encode = lambda raw: [seen.append(raw) or len(raw)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join(a + b + c + d for c in letters for d in letters) for a in letters for b in letters[:8]]
+    first, second = ([codec.encode(t).tolist() for t in texts] for _ in range(2))
+    assert first == second and first[0][:2] == [4, 5]
+    assert len(seen) == len(set(seen)) > 140_000
+
+
 def test_byte_bpe_emits_while_it_reads():
     machine = byte_bpe.Transducer(byte_bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")))
     raw = "straßenbahnhaltestelle".encode() * 40
