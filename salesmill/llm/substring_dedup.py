@@ -8,7 +8,7 @@ windows have equal anchors; windows whose anchor occurs in one document only can
 of their windows, combined map-side, name each repeated window's first document; its maximal repeated passages are the
 reference, in which every repeated passage stands once. The reference is cut into shards of bounded size, each compiled
 into a suffix automaton whose states know the least document they occur in. Runs are streamed past the automata of those
-shards that hold one of their anchors, for matching statistics (the longest match ending at each word); where it reaches
+shards that hold one of their anchors, cut to the windows with such anchors, for matching statistics (the longest match ending at each word); where it reaches
 the width and the matched window is in a smaller document, the window's words go. A shard is sent only to the tasks that
 stream runs past it, since all shards together grow with the corpus; a shard with many runs is sent to several tasks.
 
@@ -226,6 +226,39 @@ def repeated_runs(docs: DataFrame, width: int, gram: int, shared_limit: int) ->
     return map_batches(with_own, lambda: of_own, RUNS)
 
 
+def _dealt(runs: DataFrame, reference: DataFrame, width: int, gram: int, task_words: int) -> tuple[DataFrame, DataFrame]:
+    """The pieces of runs that are streamed past each shard, and the shards' passages, by shard and slice (the task's share of the pieces)."""
+    windows = Windows(width, gram)
+    holds = reference.select(F.explode("anchors").alias("anchor"), "shard").distinct()
+    # Of a run, a shard gets only the windows whose anchors it holds: whole runs would be sent to more shards the more there are.
+    wanted = staged(
+        runs.select("doc", "row", "start", (F.size("hashes") + (width - 1)).alias("n"), F.explode("anchors").alias("anchor"))
+        .join(holds, "anchor").groupBy("doc", "row", "start", "n", "shard").agg(F.collect_set("anchor").alias("held"))
+        .withColumn("n", F.least("n", F.size("held") * (2 * width - gram)))  # words of the windows around so many anchors
+    )
+    slices = wanted.groupBy("shard").agg(F.ceil(F.sum("n") / task_words).cast("int").alias("slices"))  # one row per shard
+    dealt = wanted.join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64("doc", "row", "start"), F.col("slices")).cast("int"))
+    # At most one entry per shard and anchor of the run.
+    dealt = dealt.groupBy("doc", "row", "start").agg(F.collect_list(F.struct("shard", "slice", "held")).alias("to"))
+
+    def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for doc, row, start, text, to in zip(*(batch.column(c).to_pylist() for c in ("doc", "row", "start", "words", "to"))):
+            words = text.encode().split(b" ")
+            anchors = windows(words)[0].view(np.int64)
+            for one in to:
+                for a, b in _runs(np.isin(anchors, np.array(one["held"], np.int64))):
+                    out.append((one["shard"], one["slice"], doc, row, start + a, b" ".join(words[a : b + width - 1]).decode()))
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        columns = list(zip(*out)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["shard", "slice", "doc", "row", "start", "words"])
+
+    each_run = runs.select("doc", "row", "start", "words").join(dealt, ["doc", "row", "start"])
+    streamed = map_batches(each_run, lambda: pieces, "shard int, slice int, doc long, row long, start long, words string")
+    sent = reference.join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    return streamed, sent
+
+
 def removed_spans(
     docs: DataFrame, width: int = 50, gram: int = 16, shard_words: int = 150_000, task_words: int = 2_000_000,
     shared_limit: int = 4_000_000, id_col: str = "doc_id", text_col: str = "text",
@@ -262,17 +295,7 @@ def removed_spans(
     shards = max(1, -(-(reference.agg(F.sum("n")).first()[0] or 0) // shard_words))
     reference = reference.withColumn("shard", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int"))
 
-    holds = reference.select(F.explode("anchors").alias("anchor"), "shard").distinct()
-    # Passages of a document share a shard, so a run, which is mostly one document's text, goes to few.
-    wanted = (
-        runs.select("doc", "row", "start", (F.size("hashes") + (width - 1)).alias("n"), F.explode("anchors").alias("anchor"))
-        .join(holds, "anchor").select("doc", "row", "start", "n", "shard").distinct()
-    )
-    wanted = staged(wanted)
-    slices = wanted.groupBy("shard").agg(F.ceil(F.sum("n") / task_words).cast("int").alias("slices"))  # one row per shard
-    wanted = wanted.join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64("doc", "row", "start"), F.col("slices")).cast("int"))
-    streamed = runs.select("doc", "row", "start", "words").join(wanted.drop("n"), ["doc", "row", "start"])
-    sent = reference.join(slices, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    streamed, sent = _dealt(runs, reference, width, gram, task_words)
 
     def past(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         automaton = Automaton(width)

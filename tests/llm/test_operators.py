@@ -333,6 +333,19 @@ def brute_substrings(rows, width):
     return out
 
 
+def test_substring_dedup_sends_a_shard_its_own_words(spark, monkeypatch):
+    sent, dealt = [], substring_dedup._dealt
+    monkeypatch.setattr(substring_dedup, "_dealt", lambda *a: sent.append(dealt(*a)) or sent[-1])
+    parts = [" ".join(f"w{i}_{k}" for k in range(60)) for i in range(30)]
+    # Every passage has its own first document; the last document is one run that all shards know a part of.
+    docs = docs_of(spark, [*[(i, p, "h") for i, p in enumerate(parts)], (99, " ".join(parts), "h")])
+    spans = substring_dedup.removed_spans(docs, shard_words=100).collect()
+    gone = {k for x in spans for s in x.spans for k in range(s.start, s.end)}
+    assert {x.doc for x in spans} == {99} and gone == set(range(1800))
+    streamed = sent[0][0].where("doc = 99").selectExpr("sum(size(split(words, ' '))) AS n", "count(DISTINCT shard) AS shards").first()
+    assert streamed.shards > 5 and streamed.n <= 2 * 1800
+
+
 @pytest.mark.parametrize("options", [{}, {"shard_words": 60, "task_words": 40}, {"shared_limit": 0}, {"width": 5}, {"width": 20, "shard_words": 30, "shared_limit": 0}])
 def test_substring_dedup(spark, corpus, options):
     rows = [x for x in corpus if x[0] != 80]
