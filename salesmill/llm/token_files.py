@@ -9,6 +9,7 @@ their file's start. Null text counts as empty (the end id only); null ids come f
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 
 import numpy as np
@@ -29,6 +30,9 @@ OPTIONS = {
     "orc.stripe.size": str(64 << 20),
 }
 
+#: The pretoken pattern of byte-level vocabularies: it leaves a space and the ASCII letters after it whole.
+WORDS_WHOLE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
 class Encoder:
     """Ids as the tokenizers library gives them, from a memo of pieces; the library's model encodes what is new.
@@ -48,11 +52,17 @@ class Encoder:
         shown = {i: s for i, s in enumerate(byte_symbols())}
         find = regex.compile(pattern).findall
 
+        space, words = shown[0x20], pattern == WORDS_WHOLE
+
         def encode(piece: str) -> bytes:
-            ids: list[int] = []
-            for match in find(piece):
-                ids += [t.id for t in model.tokenize(match.encode().decode("latin-1").translate(shown))]
-            return np.array(ids, "<i4").tobytes()
+            word = piece[1:]
+            if words and word.isascii() and word.isalpha() and piece[0] == " ":  # one pretoken, as most pieces are
+                ids = [t.id for t in model.tokenize(space + word)]
+            else:
+                ids = []
+                for match in find(piece):
+                    ids += [t.id for t in model.tokenize(match.encode().decode("latin-1").translate(shown))]
+            return struct.pack(f"<{len(ids)}i", *ids)
 
         self.pieces = Pieces(encode)
         self.special = [t["content"] for t in spec["added_tokens"]]

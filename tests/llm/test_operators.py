@@ -173,6 +173,14 @@ def test_token_files(spark, corpus):
     assert [len(x.ids) for x in token_files.read_tokens(spark, folder).where("doc_id = 10").collect()] == [want[10][0][0]]
 
 
+def test_token_files_plain_words_as_the_library():
+    path = P.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), token_files.Encoder(path, P.PATTERN)
+    assert P.PATTERN == token_files.WORDS_WHOLE
+    for text in ("a plain word", " a  b", "it's don't 's x's", "a\nb c\n d", "é ab é", "ab1 1ab a.b .a", "a \tb", "", " ", "x" * 300 + " " + "y" * 300):
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def rows_scanned(df):
     """The rows that the scan of a collected DataFrame gave to the filter above it."""
     plan = df._jdf.queryExecution().executedPlan()
