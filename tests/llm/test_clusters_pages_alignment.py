@@ -148,6 +148,51 @@ def test_shards_do_not_change_results(spark):
     assert read(shard_bytes=500) == read(shard_bytes=3000, broadcast_rows=0) == whole
 
 
+def test_marked_text_loses_what_its_host_repeats(spark):
+    """Suffix arrays decide on marked articles too; a few pages that share a passage are copies and keep it."""
+    more, menu, told = "read all our other stories right here", "home news sport weather money and more", "six pages of forty tell this in the same words"
+    page = lambda inner, around="": f"<nav>{around}</nav><article>{inner}</article>"
+    rows = [(i, f"http://big.example/{i}", page(f"<h1>t{i}</h1><p>own{i} text{i} {menu if i == 7 else ''}</p><p>{told if i < 6 else f'a{i}'}</p><p>{more}</p>", f"{menu} {i}")) for i in range(40)]
+    rows += [(100 + i, f"http://big.example/copy/{i}", page("<p>one article on very many pages</p>", f"n{i}")) for i in range(60)]  # one text
+    rows += [(200 + i, f"http://small.example/{i}", page(f"<p>a near copy of another page s{i}</p>")) for i in range(4)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole = None
+    for options in ({}, {"shard_bytes": 600}, {"shard_bytes": 2000, "broadcast_rows": 0}):
+        got = {r["page_id"]: r["text"] for r in html_extraction.extracted(table, **options).collect()}
+        for i in range(40):
+            assert got[i] == f"t{i}\nown{i} text{i}\n{told if i < 6 else f'a{i}'}", (i, options)
+        assert {got[100 + i] for i in range(60)} == {"one article on very many pages"}
+        assert [got[200 + i] for i in range(4)] == [f"a near copy of another page s{i}" for i in range(4)]
+        whole = whole or got
+        assert got == whole
+
+
+def test_marked_runs_against_all_windows(spark):
+    """Counts over shards equal those over the whole host, whatever the shards name."""
+    r = random.Random(7)
+    rows = []
+    for host, n in (("a", 150), ("b", 12), ("c", 40)):
+        pool = [" ".join(r.choice("uvwxyz") + str(r.randint(0, 3)) for _ in range(7)) for _ in range(12)]
+        for i in range(n):
+            said = [p for k, p in enumerate(pool) if r.random() < (k + 1) / 26] + [f"{host}{r.randint(0, n)} x y"]
+            r.shuffle(said)
+            rows.append((len(rows), f"http://{host}/", "<article>" + "".join(f"<p>{p}</p>" for p in said) + "</article>"))
+    texts = {k: html_extraction.read_page(h)[0] for k, _, h in rows}
+    want = {}
+    for host in {u for _, u, _ in rows}:
+        pages = {texts[k] for k, u, _ in rows if u == host}
+        found = collections.Counter(x for t in pages for x in {" ".join(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)})
+        common = {x for x, n in found.items() if n >= max(5, -(-len(pages) // 5))}
+        for k, u, _ in rows:
+            if u == host:
+                blocks = texts[k].split("\n")
+                want[k] = html_extraction.kept_text(blocks, [False] * len(blocks), html_extraction.unique_words(blocks, common, 5))
+    assert sum(want[k] != texts[k] for k in texts) > 50 and sum(want[k] != "" for k in texts) > 50
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for options in ({}, {"shard_bytes": 1000}):
+        assert {x["page_id"]: x["text"] for x in html_extraction.extracted(table, **options).collect()} == want
+
+
 def test_long_page_and_no_pages(spark):
     words = " ".join(f"w{i}" for i in range(200_000))
     table = spark.createDataFrame([(1, "http://a.b/", f"<article>{'<b>' * 3000}{words}</article>"), (2, "http://a.b/", f"<p>{words} {words}")], "page_id long, url string, html string")
