@@ -11,8 +11,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from salesmill.schemas import CLEAN_SCHEMA, conform
+from salesmill.sources.gzip_members import write_members
 
 PARTITION = "AnioMes"
+# Rows of a gzip member: one to two MB of compressed extract, so that blocks of some MB hold several.
+MEMBER_ROWS = 25_000
 
 
 def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = CLEAN_SCHEMA, by_month: bool = False, mode: str = "overwrite") -> None:
@@ -93,8 +96,15 @@ def write_text(df: DataFrame, path: str, one_file: bool = False) -> None:
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, compression: str = "none") -> None:
-    """CSV with header and quoting that `read_csv` reads back unchanged; gzip at its fastest level."""
+    """CSV with header and quoting that `read_csv` reads back unchanged; gzip at its fastest level.
+
+    With `members` as compression each gzip file is a chain of members, which `read_gzip_csv` splits.
+    """
     out = df.repartition(files) if files else df
+    if compression == "members":
+        old = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        old.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(old, True)
+        return write_members(out, path, MEMBER_ROWS, level=1)
     out.write.mode("overwrite").options(
         header=True, escape='"', compression=compression,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **{"zlib.compress.level": "BEST_SPEED"},

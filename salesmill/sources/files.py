@@ -58,22 +58,31 @@ def read_gzip_csv(spark: SparkSession, path, quoted_newlines: bool = False, keep
     return parse_records(rows, csv_schema(keep_corrupt), options)
 
 
-def external_view(spark: SparkSession, path, name: str = "raw_data") -> DataFrame:
-    """The extract as a view over the files: quoted newlines and short rows are allowed, and nothing is copied but records that cross blocks."""
-    df = read_csv(spark, path, quoted_newlines=True)
+def _read_files(spark: SparkSession, source, quoted_newlines: bool, block_bytes: int) -> DataFrame:
+    """The extract from paths or patterns; gzip files, where these end so, are split where they can be."""
+    paths = [source] if isinstance(source, str) else source
+    if all(p.endswith(".gz") for p in paths):
+        return read_gzip_csv(spark, source, quoted_newlines, block_bytes=block_bytes)
+    return read_csv(spark, source, quoted_newlines)
+
+
+def external_view(spark: SparkSession, path, name: str = "raw_data", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The extract as a view over the files: quoted newlines and short rows are allowed, and nothing is copied but records that cross blocks.
+
+    Gzip files are split where they can be.
+    """
+    df = _read_files(spark, path, True, block_bytes)
     df.createOrReplaceTempView(name)
     return df
 
 
-def land_bronze(spark: SparkSession, source, target: str, quoted_newlines: bool = False) -> DataFrame:
+def land_bronze(spark: SparkSession, source, target: str, quoted_newlines: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Copy a compressed extract to Parquet once, so that all later reads are split and pruned.
 
     Gzip files are split where they can be. Every task writes what it has read: no row moves, and Parquet is split
     whatever the size of its files.
     """
-    paths = [source] if isinstance(source, str) else source
-    read = read_gzip_csv if all(p.endswith(".gz") for p in paths) else read_csv
-    read(spark, source, quoted_newlines).write.mode("overwrite").parquet(target)
+    _read_files(spark, source, quoted_newlines, block_bytes).write.mode("overwrite").parquet(target)
     return spark.read.schema(RAW_SCHEMA).parquet(target)
 
 

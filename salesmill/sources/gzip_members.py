@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
@@ -182,6 +183,7 @@ class MembersWriter(DataSourceArrowWriter):
 
     def __init__(self, options: dict):
         self.folder, self.member_rows = options["path"].rstrip("/"), int(options.get("memberrows", "100000"))
+        self.header, self.level = options.get("header"), int(options.get("level", "-1"))
         self.attempt = f"{self.folder}/_temporary/{uuid.uuid4().hex}"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
@@ -189,19 +191,24 @@ class MembersWriter(DataSourceArrowWriter):
         system.create_dir(folder)
         path = f"{folder}/part-{uuid.uuid4().hex}.csv.gz"
         with system.open_output_stream(path, compression=None) as out:
-            held: list[str] = []
+            pack, left = self._member(), self.member_rows
+            if self.header is not None:
+                out.write(pack.compress(f"{self.header}\n".encode()))
             for batch in batches:
-                held += batch.column(0).to_pylist()
-                while len(held) >= self.member_rows:
-                    out.write(self._member(held[: self.member_rows]))
-                    held = held[self.member_rows :]
-            out.write(self._member(held))
+                lines, at = batch.column(0), 0
+                while at < len(lines):
+                    part = lines.slice(at, left)
+                    text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), "\n")[0]
+                    out.write(pack.compress(text.as_buffer()) + pack.compress(b"\n"))
+                    at, left = at + len(part), left - len(part)
+                    if not left:
+                        out.write(pack.flush())
+                        pack, left = self._member(), self.member_rows
+            out.write(pack.flush())
         return Written(path)
 
-    @staticmethod
-    def _member(lines: list[str]) -> bytes:
-        pack = zlib.compressobj(wbits=31)
-        return pack.compress("".join([f"{line}\n" for line in lines]).encode()) + pack.flush()
+    def _member(self):
+        return zlib.compressobj(self.level, wbits=31)
 
     def commit(self, messages) -> None:
         system, folder = file_system(self.folder)
@@ -217,7 +224,7 @@ class MembersWriter(DataSourceArrowWriter):
 
 
 class GzipLines(DataSource):
-    """Lines of gzip files (`files`: JSON of path and size, `blockBytes`), and a sink for them (`path`, `memberRows`)."""
+    """Lines of gzip files (`files`: JSON of path and size, `blockBytes`), and a sink for them (`path`, `memberRows`, `header`, `level`)."""
 
     @classmethod
     def name(cls) -> str:
@@ -255,21 +262,14 @@ def readable(files: list[tuple[str, int]]) -> bool:
     return True
 
 
-def write_members(df: DataFrame, path: str, member_rows: int = 100_000, header: bool = True) -> None:
+def write_members(df: DataFrame, path: str, member_rows: int = 100_000, header: bool = True, level: int = -1) -> None:
     """CSV in gzip files of many members, which any gzip tool reads and `gzip_lines` splits.
 
-    With `header` each file begins with the column names.
+    With `header` each file begins with the column names. `level` is zlib's.
     """
     options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     lines = df.select(F.to_csv(F.struct(*df.columns), options).alias("value"))
-    if header:
-        names = ",".join(df.columns)
-
-        def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield pa.RecordBatch.from_arrays([pa.array([names])], names=["value"])
-            yield from batches
-
-        lines = lines.mapInArrow(headed, "value string")
     spark = df.sparkSession
     spark.dataSource.register(GzipLines)
-    lines.write.format("gzip_lines").options(path=path, memberRows=member_rows).mode("append").save()
+    written = lines.write.format("gzip_lines").options(path=path, memberRows=member_rows, level=level)
+    (written.option("header", ",".join(df.columns)) if header else written).mode("append").save()

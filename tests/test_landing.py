@@ -98,3 +98,50 @@ def test_gzip_copies_are_written_at_the_fastest_level(spark, tmp_path):
     tables.write_csv(rows, str(tmp_path / "c"), compression="gzip")
     [file] = (tmp_path / "c").glob("*.gz")
     assert len(gzip.compress(gzip.decompress(file.read_bytes()), 6)) < 0.97 * file.stat().st_size
+
+
+def _copies(monkeypatch, label):
+    """The paths that queries take for copies of that label."""
+    paths = []
+    monkeypatch.setattr(catalog, "new_path", lambda spark, x: [p := new_path(spark, x), paths.append(p) if x == label else None][0])
+    return paths
+
+
+def _compressed_copy(spark, path, noted):
+    """Whether the copy holds these rows in members, in less than half the bytes of plain CSV, and is read by several tasks."""
+    import glob
+    import gzip
+    import os
+
+    found = glob.glob(f"{path}/part-*")
+    assert found and all(f.endswith(".csv.gz") for f in found)
+    size, text = sum(map(os.path.getsize, found)), sum(len(gzip.open(f).read()) for f in found)
+    assert size < text / 2
+    view = files.external_view(spark, f"{path}/*.gz", "a_copy", block_bytes=20_000)
+    assert view.rdd.getNumPartitions() > len(found)
+    got, want = view.select(*noted.columns), noted
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_the_view_is_over_compressed_files(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    paths = _copies(monkeypatch, "external")
+    view = catalog.external_view(spark, SF_DIR)
+    whole = catalog.raw(spark, SF_DIR)
+    noted = whole.select("transaction_id", F.concat(F.lit('"'), "region", F.lit('",\n'), "product_id").alias("notes"), F.nullif("modified_date", F.lit("")).alias("modified_date"))
+    assert view.exceptAll(noted).isEmpty() and view.count() == noted.count()
+    _compressed_copy(spark, *paths, noted)
+
+
+def test_members_replace_an_earlier_copy(spark, tmp_path):
+    """Members are cut by rows, across batches, and a copy written again takes the place of the first."""
+    import gzip
+
+    path = str(tmp_path / "c")
+    for n in (30, 60_000):
+        tables.write_csv(spark.range(n).selectExpr("id a", "if(id % 3 = 0, null, 'x\ny') b").coalesce(1), path, compression="members")
+    [file] = (tmp_path / "c").glob("*.gz")
+    data = file.read_bytes()
+    assert data.count(b"\x1f\x8b\x08") >= 3  # 25,000 rows a member
+    assert gzip.decompress(data).decode() == "a,b\n" + "".join(f"{i},\n" if i % 3 == 0 else f'{i},"x\ny"\n' for i in range(60_000))
