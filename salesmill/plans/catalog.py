@@ -344,8 +344,8 @@ def quoted_csv(spark, sf_dir) -> DataFrame:
     """The whole extract with line breaks and quotes in its notes, landed from files that are split all the same."""
     noted = extract(spark, sf_dir).withColumn("notes", F.concat(F.lit('"'), F.coalesce("notes", F.lit("")), F.lit('",\n\n'), F.col("product_id")))
     path = new_path(spark, "quoted")
-    tables.write_csv(noted, path)
-    return files.land_bronze(spark, path, new_path(spark, "bronze"), quoted_newlines=True)
+    tables.write_csv(noted, path, compression="members")
+    return files.land_bronze(spark, f"{path}/*.gz", new_path(spark, "bronze"), quoted_newlines=True, block_bytes=SPLIT_BYTES)
 
 
 def gzip_chain(spark, sf_dir) -> DataFrame:

@@ -134,6 +134,18 @@ def test_the_view_is_over_compressed_files(spark, monkeypatch):
     _compressed_copy(spark, *paths, noted)
 
 
+def test_quoted_files_are_compressed(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    paths = _copies(monkeypatch, "quoted")
+    landed = catalog.quoted_csv(spark, SF_DIR)
+    whole = catalog.raw(spark, SF_DIR)
+    assert landed.count() == whole.count()
+    noted = whole.select("product_id", "customer_id", F.concat(F.lit('"'), F.coalesce("notes", F.lit("")), F.lit('",\n\n'), "product_id").alias("notes"))
+    assert landed.select(*noted.columns).exceptAll(noted).isEmpty()
+    _compressed_copy(spark, *paths, noted)
+
+
 def test_members_replace_an_earlier_copy(spark, tmp_path):
     """Members are cut by rows, across batches, and a copy written again takes the place of the first."""
     import gzip
