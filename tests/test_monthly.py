@@ -191,3 +191,42 @@ def test_closed_months_take_no_rows(spark, tmp_path):
         stream_totals(customer_months(spark.readStream.schema(kind).json(str(source))), target, state).awaitTermination()
     got = {r.year_month: (r.revenue, r.customers) for r in monthly_totals(spark, target).collect()}
     assert got == {"2001-02": (3.0, 2), "2001-03": (3.0, 2), "2001-04": (3.0, 2)}
+
+
+def _jobs(spark, work):
+    """What `work` gives, and how many Spark jobs it took."""
+    group = new_path(spark, "group")
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_manifests_are_read_once(spark):
+    """Looking for the last version takes no Spark job once its manifest is known; those of other writers are found."""
+    table = MonthlyTable(spark, new_path(spark, "monthly"))
+    other = MonthlyTable(spark, table.path)
+    assert other.version() is None and other.mark() is None
+    rows = spark.createDataFrame([(202301, "a"), (202302, "b"), (None, "c")], "AnioMes int, x string")
+    for mark in (0, 1, None, 3):
+        assert table.replace(rows, mark=mark) == [202301, 202302, None]
+    assert table.version() == 4
+    facts = lambda t: (t.version(), t.version(before=3), t.mark(), sorted(t.months(), key=str), t.schema().names)
+    assert _jobs(spark, lambda: facts(table)) == ((4, 2, 3, [202301, 202302, None], ["x", "AnioMes"]), 0)
+    assert facts(other) == facts(table)
+    other.replace(rows.where("x = 'a'"), [202301], mark=4)
+    assert facts(table) == facts(other) == facts(MonthlyTable(spark, table.path)) and table.version() == 5
+
+
+def test_fills_of_all_months_read_the_sums_once(spark, monkeypatch):
+    store = PriceStore(spark, new_path(spark, "store"), SPEC)
+    kind = "AnioMes int, region string, product_id string, product_category string, unit_price double"
+    rows = [(202301, "r", "p", "c", 5.0), (202302, "r", "p", "c", 7.0), (202302, "s", "p", "c", None), (202303, "r", "q", "c", None)]
+    store.add(spark.createDataFrame(rows, kind))
+    reads, read = [], store.table.read
+    monkeypatch.setattr(store.table, "read", lambda months=None, version=None: [reads.append(months), read(months, version)][1])
+    same_rows(store.fills([202301, 202302, 202303]).table, store.fills().table)
+    assert len(reads) == 2
+    one = store.fills(m for m in [202302])
+    assert len(reads) == 4 and [(r.region, r.fill_price) for r in one.table.collect()] == [("s", 6.0)]
